@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ STRIP_CHARS = (
 
 # Named character references that are decoded.
 NAMED_ENTITIES = {
+    "amp": "&",
     "lt": "<",
     "gt": ">",
     "quot": '"',
@@ -33,8 +32,12 @@ NAMED_ENTITIES = {
     "rdquo": "”",
 }
 
-INVISIBLE_HTML = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-HTML_TAG = r"</?[a-zA-Z!][^>]*>"
+ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-z]+);"
+# Every run of spaces, line feeds and no-break spaces but a single space, which stays as it is.
+SPACE_RUN = "[\n\u00a0][ \n\u00a0]*| [ \n\u00a0]+"
+
+# A script, style or comment with all it holds, or one tag.
+HTML_MARKUP = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->|/?[a-zA-Z!][^>]*>)"
 HTML_TITLE = r"(?is)<title[^>]*>(.*?)</title\s*>"
 URL_HEAD = r"^[\x00-\x20]+|[\t\r\n]"
 WEB_NETLOC = r"(?i)^https?://([^/?#]+)"
@@ -47,7 +50,7 @@ def strip(text: Column) -> Column:
 
 def clean_whitespace(text: Column) -> Column:
     """Collapse runs of spaces, line feeds and no-break spaces to one space, then strip."""
-    return strip(F.regexp_replace(text, "[ \n\u00a0]+", " "))
+    return strip(F.regexp_replace(text, SPACE_RUN, " "))
 
 
 def strip_fences(text: Column) -> Column:
@@ -65,56 +68,45 @@ def strip_fences(text: Column) -> Column:
     )
 
 
-def _decode_numeric_references(text: Column) -> Column:
-    """Replace ``&#NNN;`` and ``&#xHH;`` by their characters, each distinct reference once."""
-    references = F.array_distinct(
-        F.regexp_extract_all(text, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(1))
-    )
-    pairs = F.transform(references, lambda d: F.struct(d.alias("d"), _char_of(d).alias("c")))
-    return F.aggregate(
-        pairs, text, lambda acc, p: F.replace(acc, F.concat(F.lit("&#"), p["d"], F.lit(";")), p["c"])
+def _character(reference: Column) -> Column:
+    """Character of a reference without ``&`` and ``;``; NULL for an unknown name."""
+    is_hex = F.lower(F.substring(reference, 2, 1)) == "x"
+    number = (
+        F.when(is_hex, F.conv(F.substring(reference, 3, 8), 16, 10)).otherwise(F.substring(reference, 2, 8)).cast("bigint")
     )
-
-
-def _char_of(reference: Column) -> Column:
-    is_hex = F.lower(F.left(reference, F.lit(1))) == "x"
-    number = F.when(is_hex, F.conv(F.substring(reference, 2, 8), 16, 10)).otherwise(reference).cast("bigint")
     valid = (number < 0xD800) | ((number > 0xDFFF) & (number <= 0x10FFFF))
     utf32 = F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0"))
-    return F.decode(utf32, "UTF-32")
+    names = F.create_map(*[F.lit(v) for pair in NAMED_ENTITIES.items() for v in pair])
+    return F.when(reference.startswith("#"), F.decode(utf32, "UTF-32")).otherwise(F.try_element_at(names, reference))
 
 
-def decode_entities(text: Column, raw: Column | None = None) -> Column:
-    """Decode named and numeric character references; ``&amp;`` last, so nothing is decoded twice.
+def decode_entities(text: Column) -> Column:
+    """Decode named and numeric character references, each distinct one once.
 
-    ``raw`` is the column ``text`` was computed from: looking for numeric references there keeps the
-    computation of ``text`` out of the condition.
+    References to ``&`` come last, so nothing is decoded twice.
     """
-    has_numeric = (text if raw is None else raw).contains("&#")
-    numeric = F.when(has_numeric, _decode_numeric_references(text)).otherwise(text)
-    named = reduce(
-        lambda acc, entity: F.replace(acc, F.lit(f"&{entity[0]};"), F.lit(entity[1])),
-        NAMED_ENTITIES.items(),
-        numeric,
+    references = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(1)))
+    pairs = F.transform(references, lambda r: F.struct(r.alias("r"), _character(r).alias("c")))
+    known = F.filter(pairs, lambda p: p["c"].isNotNull())
+    ordered = F.concat(F.filter(known, lambda p: p["c"] != "&"), F.filter(known, lambda p: p["c"] == "&"))
+    return F.aggregate(
+        ordered, text, lambda acc, p: F.replace(acc, F.concat(F.lit("&"), p["r"], F.lit(";")), p["c"])
     )
-    return F.replace(named, F.lit("&amp;"), F.lit("&"))
 
 
-def strip_tags(markup: Column) -> Column:
-    """Markup with scripts, styles, comments and tags replaced by spaces; references decoded."""
-    visible = F.regexp_replace(markup, INVISIBLE_HTML, " ")
-    return decode_entities(F.regexp_replace(visible, HTML_TAG, " "), markup)
+def visible_markup(markup: Column) -> Column:
+    """Markup with scripts, styles, comments and tags replaced by spaces."""
+    return F.regexp_replace(markup, HTML_MARKUP, " ")
 
 
 def html_to_text(html: Column) -> Column:
     """Visible text of a page, whitespace collapsed."""
-    return clean_whitespace(strip_tags(html))
+    return clean_whitespace(decode_entities(visible_markup(html)))
 
 
 def html_title(html: Column) -> Column:
-    """Text of the first ``title`` element, or NULL."""
-    title = clean_whitespace(decode_entities(F.regexp_extract(html, HTML_TITLE, 1), html))
-    return F.when(title != "", title)
+    """Text of the first ``title`` element, empty if there is none."""
+    return clean_whitespace(decode_entities(F.regexp_extract(html, HTML_TITLE, 1)))
 
 
 def is_web_url(value: Column) -> Column:

@@ -7,51 +7,43 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.operators.dedup import unique_per_batch
+from recordloom.operators.dedup import dedup_first, unique_per_batch
 from recordloom.operators.running import BLOCK_ROWS, with_run_length, with_totals_before
-from recordloom.operators.validate import is_valid
 from recordloom.params import failure_limit
 
 
-def batch_validity(validated: DataFrame, group: Sequence[str] = (), batch: str = "batch_id") -> DataFrame:
+def batch_validity(outcomes: DataFrame, group: Sequence[str] = (), batch: str = "batch_id") -> DataFrame:
     """Valid and skipped items per batch; a batch without items counts 0 for both."""
-    return validated.groupBy(*group, batch).agg(
-        F.count_if(is_valid()).alias("valid"),
-        F.count_if(F.size("reasons") > 0).alias("skipped"),
+    return outcomes.groupBy(*group, batch).agg(
+        F.count_if(F.col("valid")).alias("valid"), F.count_if(~F.col("valid")).alias("skipped")
     )
 
 
 def batch_summary(
-    validated: DataFrame,
-    firsts: DataFrame,
-    records: DataFrame | None = None,
-    n: int | None = None,
-    group: Sequence[str] = (),
-    batch: str = "batch_id",
+    outcomes: DataFrame, n: int | None = None, group: Sequence[str] = (), batch: str = "batch_id"
 ) -> DataFrame:
     """Per batch: ``valid``, ``skipped``, ``new_unique``, ``duplicates``, ``stagnant``.
 
-    ``firsts`` are the deduplicated ``records`` of ``validated``. With a target of ``n`` unique records
-    the run ends inside the batch that reaches it: later batches are left out, and duplicates behind the
-    last record taken are not counted; ``records`` is needed for that.
+    ``outcomes`` is an ``item_outcomes`` table; it is read more than once, so store it first. With a
+    target of ``n`` unique records the run ends inside the batch that reaches it: later batches are left
+    out, and duplicates behind the last record taken are not counted.
     """
     keys = [*group, batch]
-    counts = batch_validity(validated, group, batch)
-    new = unique_per_batch(firsts, group, batch)
+    valid = outcomes.where("valid")
+    firsts = dedup_first(valid, [*group, "hash"], (batch, "pos"))
     summary = (
-        counts.join(new, keys, "left")
+        batch_validity(outcomes, group, batch)
+        .join(unique_per_batch(firsts, group, batch), keys, "left")
         .withColumn("new_unique", F.coalesce("new_unique", F.lit(0).cast("bigint")))
         .withColumn("duplicates", F.col("valid") - F.col("new_unique"))
     )
     if n is not None:
-        if records is None:
-            raise ValueError("records are needed to count up to a target")
-        summary = _up_to_target(summary, firsts, records, n, group, batch)
+        summary = _up_to_target(summary, firsts, valid, n, group, batch)
     return summary.withColumn("stagnant", (F.col("valid") > 0) & (F.col("new_unique") == 0))
 
 
 def _up_to_target(
-    summary: DataFrame, firsts: DataFrame, records: DataFrame, n: int, group: Sequence[str], batch: str
+    summary: DataFrame, firsts: DataFrame, valid: DataFrame, n: int, group: Sequence[str], batch: str
 ) -> DataFrame:
     """Cut the summary where the ``n``-th unique record was taken.
 
@@ -69,7 +61,7 @@ def _up_to_target(
         .select(*keys, F.expr("places[cast(take - 1 as int)]").alias("cut"))
     )
     valid_to_cut = (
-        records.join(cut, keys).where(F.col("pos") <= F.col("cut")).groupBy(*keys).agg(F.count("*").alias("valid_to_cut"))
+        valid.join(cut, keys).where(F.col("pos") <= F.col("cut")).groupBy(*keys).agg(F.count("*").alias("valid_to_cut"))
     )
     return (
         counted.withColumn("take", take)

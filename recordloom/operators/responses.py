@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.functions.json_text import json_kind, parse_json_strict
+from recordloom.functions.json_text import opening_kind, parse_json_strict
 from recordloom.functions.text import strip, strip_fences
+from recordloom.operators.once import computed_once
 from recordloom.session import prepare
 
 # Call status
@@ -41,14 +42,14 @@ def parse_responses(responses: DataFrame, content: str = "content") -> DataFrame
     The fence is removed, the rest must be one whole JSON value; a single object becomes a list of one.
     """
     prepare(responses.sparkSession)
-    value = F.col("__value")
-    kind = F.col("__kind")
-    return (
-        responses.withColumn("__value", parse_json_strict(strip_fences(F.col(content))))
-        .withColumn("__kind", json_kind(value))
+    value, kind = F.col("__value"), F.col("__kind")
+    parsed = (
+        responses.withColumn("__text", strip_fences(F.col(content)))
+        .withColumn("__value", parse_json_strict(F.col("__text")))
+        .withColumn("__kind", F.when(value.isNotNull(), opening_kind(F.col("__text"))))
         .withColumn(
             "parse_status",
-            F.when(value.isNull(), F.lit(PARSE_ERROR))
+            F.when(kind.isNull(), F.lit(PARSE_ERROR))
             .when(kind.isin("object", "array"), F.lit(PARSED))
             .otherwise(F.lit(NOT_A_LIST)),
         )
@@ -58,8 +59,8 @@ def parse_responses(responses: DataFrame, content: str = "content") -> DataFrame
                 kind == "array", F.try_variant_get(value, "$", "array<variant>")
             ),
         )
-        .drop("__value", "__kind")
     )
+    return computed_once(parsed.drop("__text", "__value", "__kind"), ["parse_status", "items"])
 
 
 def resolve_attempts(calls: DataFrame, max_retries: int, keys: Sequence[str] = ("batch_id",)) -> DataFrame:
@@ -78,10 +79,10 @@ def resolve_attempts(calls: DataFrame, max_retries: int, keys: Sequence[str] = (
     considered = classify_responses(calls.where((F.col("attempt") <= last) & (F.col("call") <= last)))
     parsed = parse_responses(
         considered.withColumn("__ok_content", F.when(F.col("status") == OK, F.col("content"))), "__ok_content"
-    ).withColumn("parse_status", F.when(F.col("status") == OK, F.col("parse_status")))
+    )
     status, parse_status = F.col("status"), F.col("parse_status")
     outcome = (
-        F.when(parse_status == PARSED, F.lit(SUCCEEDED))
+        F.when((status == OK) & (parse_status == PARSED), F.lit(SUCCEEDED))
         .when(status == SAFETY, F.lit(FAILED))
         .when((status != OK) & (F.col("call") == last), F.lit(FAILED))
         .when((status == OK) & (F.col("attempt") == last), F.lit(FAILED))
@@ -92,6 +93,7 @@ def resolve_attempts(calls: DataFrame, max_retries: int, keys: Sequence[str] = (
         .where(F.col("outcome").isNotNull())
         .withColumn("__rank", F.row_number().over(first))
         .where(F.col("__rank") == 1)
+        .withColumn("parse_status", F.when(status == OK, parse_status))
         .drop("__rank", "__ok_content")
     )
 

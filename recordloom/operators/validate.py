@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recordloom.formats import Field, FormatSpec
 from recordloom.functions.json_text import field_path, item_hash, json_kind
 from recordloom.functions.text import strip
+from recordloom.operators.once import kept_where
 
 # Kinds of JSON values a field type takes besides its own.
 ACCEPTED_KINDS = {
@@ -119,20 +120,36 @@ def is_valid() -> Column:
     return F.coalesce(F.size("reasons") == 0, F.lit(False)) & F.col("pos").isNotNull()
 
 
+def _keys(validated: DataFrame) -> list[str]:
+    return [c for c in validated.columns if c not in ("item", "record", "reasons", "warnings")]
+
+
+def _record_hash(spec: FormatSpec, prefix: str = "") -> Column:
+    return item_hash(spec.typed_columns(lambda name: F.col(f"{prefix}`{name}`")))
+
+
 def valid_records(validated: DataFrame, spec: FormatSpec) -> DataFrame:
     """Valid items only: their keys, the fields of the format as columns, and ``hash``."""
-    kept = [c for c in validated.columns if c not in ("item", "record", "reasons", "warnings")]
-    flat = validated.where(is_valid()).select(*kept, "record.*")
-    return flat.withColumn("hash", item_hash(spec.typed_columns(lambda name: F.col(f"`{name}`"))))
+    fields = [F.col(f"record.`{name}`").alias(name) for name in spec.field_names]
+    records = kept_where(validated, is_valid(), _keys(validated), fields)
+    return records.withColumn("hash", _record_hash(spec))
+
+
+def item_outcomes(validated: DataFrame, spec: FormatSpec) -> DataFrame:
+    """What became of each item, narrow: its keys, ``valid`` (NULL for a batch without items), ``hash``."""
+    return validated.select(
+        *_keys(validated),
+        F.when(F.col("pos").isNotNull(), is_valid()).alias("valid"),
+        F.when(is_valid(), _record_hash(spec, "record.")).alias("hash"),
+    )
 
 
 def rejects(validated: DataFrame) -> DataFrame:
     """Rejected items with their text and reasons."""
-    kept = [c for c in validated.columns if c not in ("item", "record", "reasons", "warnings")]
-    return validated.where(F.size("reasons") > 0).select(*kept, F.to_json("item").alias("raw"), "reasons")
+    values = [F.to_json("item").alias("raw"), F.col("reasons")]
+    return kept_where(validated, F.size("reasons") > 0, _keys(validated), values)
 
 
 def warned(validated: DataFrame) -> DataFrame:
     """Valid items that carry warnings, one row per warning."""
-    kept = [c for c in validated.columns if c not in ("item", "record", "reasons", "warnings")]
-    return validated.where(is_valid()).select(*kept, F.explode("warnings").alias("warning"))
+    return validated.select(*_keys(validated), F.explode(F.when(is_valid(), F.col("warnings"))).alias("warning"))

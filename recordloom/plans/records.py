@@ -11,7 +11,8 @@ from recordloom.formats import FormatSpec
 from recordloom.operators.batches import batch_summary
 from recordloom.operators.dedup import cap_unique, dedup_first
 from recordloom.operators.responses import explode_items, parse_responses
-from recordloom.operators.validate import valid_records, validate_items
+from recordloom.operators.validate import item_outcomes, valid_records, validate_items
+from recordloom.session import new_work_dir, written
 
 
 def validated_items(responses: DataFrame, spec: FormatSpec, bool_as_int: bool = True) -> DataFrame:
@@ -21,8 +22,9 @@ def validated_items(responses: DataFrame, spec: FormatSpec, bool_as_int: bool =
 
 @dataclass(frozen=True)
 class Records:
-    """Results over one set of responses. All are lazy; persist or write ``validated`` to share its cost."""
+    """Results over one set of responses; lazy, but for :meth:`summary`."""
 
+    spec: FormatSpec
     validated: DataFrame
     valid: DataFrame
     unique: DataFrame
@@ -33,8 +35,13 @@ class Records:
         return cap_unique(self.unique, n, self.group, targets)
 
     def summary(self, n: int | None = None) -> DataFrame:
-        """Counts per batch, up to the ``n``-th unique record."""
-        return batch_summary(self.validated, self.unique, self.valid, n, self.group)
+        """Counts per batch, up to the ``n``-th unique record.
+
+        Responses are parsed once: a hash and a flag per item are written to the working folder, and
+        everything is counted from there.
+        """
+        path = new_work_dir(self.validated.sparkSession, "outcomes")
+        return batch_summary(written(item_outcomes(self.validated, self.spec), path), n, self.group)
 
 
 def records_from_responses(
@@ -43,4 +50,4 @@ def records_from_responses(
     """Parse, check and deduplicate responses. Uniqueness holds within ``group`` (such as a target)."""
     validated = validated_items(responses, spec, bool_as_int)
     valid = valid_records(validated, spec)
-    return Records(validated, valid, dedup_first(valid, [*group, "hash"]), tuple(group))
+    return Records(spec, validated, valid, dedup_first(valid, [*group, "hash"]), tuple(group))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.errors import ConfigurationError
 
@@ -37,3 +37,9 @@ def work_root(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A path under :func:`work_root` that no other run uses."""
     return f"{work_root(spark)}/recordloom/{label}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, path: str) -> DataFrame:
+    """Write a table and return it as read back: computed once, with no lineage behind it."""
+    frame.write.mode("overwrite").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

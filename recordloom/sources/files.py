@@ -15,7 +15,15 @@ from pyspark.sql import types as T
 
 from recordloom.errors import ConfigurationError, LoaderError
 from recordloom.functions.json_text import field_path, json_kind, parse_json_strict
-from recordloom.functions.text import clean_whitespace, html_title, html_to_text, is_web_url, strip, strip_tags
+from recordloom.functions.text import (
+    clean_whitespace,
+    decode_entities,
+    html_title,
+    is_web_url,
+    strip,
+    visible_markup,
+)
+from recordloom.operators.once import computed_once
 from recordloom.session import prepare
 
 DOCUMENT_COLUMNS = ("source", "row", "text", "metadata")
@@ -35,7 +43,7 @@ ENCODINGS = {
     "utf-32": "UTF-32",
 }
 
-FILE = F.col("_metadata.file_path")
+FILE = "_metadata.file_path"
 
 
 def spark_encoding(name: str) -> str:
@@ -62,9 +70,9 @@ def _whole_files(
     charset = spark_encoding(encoding)
     if charset == "UTF-8":
         files = spark.read.options(**(options or {})).text(paths, wholetext=True)
-        return files.select(FILE.alias("source"), F.col("value").alias("content"))
+        return files.select(F.col(FILE).alias("source"), F.col("value").alias("content"))
     files = spark.read.format("binaryFile").options(**(options or {})).load(paths)
-    return files.select(FILE.alias("source"), F.decode("content", charset).alias("content"))
+    return files.select(F.col(FILE).alias("source"), F.decode("content", charset).alias("content"))
 
 
 def read_text_docs(
@@ -76,9 +84,11 @@ def read_text_docs(
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """One document per file. ``clean`` collapses whitespace, ``markup`` takes tags out first (XML)."""
-    content = F.col("content")
-    text = strip_tags(content) if markup else content
-    return _whole_files(spark, paths, encoding, options).select(
+    files = _whole_files(spark, paths, encoding, options)
+    if markup:
+        files = _with_visible_text(files, "content")
+    text = F.col("text" if markup else "content")
+    return files.select(
         "source",
         F.lit(0).cast("bigint").alias("row"),
         (clean_whitespace(text) if clean else text).alias("text"),
@@ -86,26 +96,41 @@ def read_text_docs(
     )
 
 
+def _with_visible_text(rows: DataFrame, markup: str, title: str | None = None) -> DataFrame:
+    """Add ``text``, the visible text of a markup column, and, under a name, the title of the page.
+
+    Done in steps whose results are computed once, whatever is later filtered on.
+    """
+    steps = rows.withColumn("text", visible_markup(F.col(markup)))
+    steps = steps.withColumn("text", decode_entities(F.col("text")))
+    steps = steps.withColumn("text", clean_whitespace(F.col("text")))
+    if title is None:
+        return computed_once(steps, ["text"])
+    steps = steps.withColumn(title, html_title(F.col(markup)))
+    return computed_once(steps, ["text", title])
+
+
 def read_html_docs(
     spark: SparkSession, paths: str | Sequence[str], encoding: str = "utf-8", options: dict[str, str] | None = None
 ) -> DataFrame:
     """One document per page: visible text, with the title in the metadata."""
-    return _whole_files(spark, paths, encoding, options).select(
+    return _page_documents(_whole_files(spark, paths, encoding, options), "source", "content")
+
+
+def _page_documents(pages: DataFrame, source: str, html: str) -> DataFrame:
+    page = pages.select(F.col(source).alias("source"), F.col(html).alias("html"))
+    title = F.col("title")
+    return _with_visible_text(page, "html", "title").select(
         "source",
         F.lit(0).cast("bigint").alias("row"),
-        html_to_text(F.col("content")).alias("text"),
-        _metadata(source=F.col("source"), title=html_title(F.col("content"))).alias("metadata"),
+        "text",
+        _metadata(source=F.col("source"), title=F.when(title != "", title)).alias("metadata"),
     )
 
 
 def pages_to_docs(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Documents of crawled pages; rows without a web URL are left out."""
-    return pages.where(is_web_url(F.col(url))).select(
-        F.col(url).alias("source"),
-        F.lit(0).cast("bigint").alias("row"),
-        html_to_text(F.col(html)).alias("text"),
-        _metadata(source=F.col(url), title=html_title(F.col(html))).alias("metadata"),
-    )
+    return _page_documents(pages.where(is_web_url(F.col(url))), url, html)
 
 
 def read_csv_docs(
@@ -140,10 +165,10 @@ def read_csv_docs(
         F.concat(F.lit(f"{name.strip()}: "), strip(F.coalesce(F.col(f"`{name}`"), F.lit("")))) for name in rows.columns
     ]
     return rows.select(
-        FILE.alias("source"),
+        F.col(FILE).alias("source"),
         F.monotonically_increasing_id().alias("row"),
         F.concat_ws("\n", *lines).alias("text"),
-        _metadata(source=FILE).alias("metadata"),
+        _metadata(source=F.col(FILE)).alias("metadata"),
     )
 
 
@@ -202,7 +227,7 @@ def read_json_docs(
         raise ConfigurationError("JSON Lines are read as UTF-8")
     content = spark.read.options(**(options or {})).text([paths] if isinstance(paths, str) else list(paths))
     texts = content.select(
-        FILE.alias("source"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("content")
+        F.col(FILE).alias("source"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("content")
     )
     return _json_documents(texts.where(strip(F.col("content")) != ""), path)
 
@@ -268,4 +293,4 @@ def read_parquet_docs(
 ) -> DataFrame:
     """One document per Parquet row; only the columns asked for are read. See :func:`rows_to_docs`."""
     rows = spark.read.options(**(options or {})).parquet(*([paths] if isinstance(paths, str) else paths))
-    return rows_to_docs(rows, FILE, F.col("_metadata.row_index"), content_column, metadata_columns)
+    return rows_to_docs(rows, F.col(FILE), F.col("_metadata.row_index"), content_column, metadata_columns)
