@@ -37,7 +37,7 @@ ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-z]+);"
 SPACE_RUN = "[\n\u00a0][ \n\u00a0]*| [ \n\u00a0]+"
 
 # A script, style or comment with all it holds, or one tag.
-HTML_MARKUP = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->|/?[a-zA-Z!][^>]*>)"
+HTML_MARKUP = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->|/?[a-zA-Z!?][^>]*>)"
 HTML_TITLE = r"(?is)<title[^>]*>(.*?)</title\s*>"
 URL_HEAD = r"^[\x00-\x20]+|[\t\r\n]"
 WEB_NETLOC = r"(?i)^https?://([^/?#]+)"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.errors import ConfigurationError, LoaderError
-from recordloom.functions.json_text import field_path, json_kind, parse_json_strict
+from recordloom.functions.json_text import parse_json_strict
 from recordloom.functions.text import (
     clean_whitespace,
     decode_entities,
@@ -176,36 +176,36 @@ def _json_documents(texts: DataFrame, path: str) -> DataFrame:
     """Documents at ``path`` in JSON texts ``(source, row, content)``.
 
     ``path`` is JSONPath; one ``[*]`` yields a document per element. Strings are taken as they are, other
-    values as compact JSON. A text that is not JSON gives a document with NULL text and an ``error``.
+    values as compact JSON with their keys in the given order; nulls give no document. A text that is not
+    JSON gives a document with NULL text and an ``error``.
     """
     prepare(texts.sparkSession)
-    parsed = texts.withColumn("__root", parse_json_strict(strip(F.col("content"))))
     head, star, tail = path.partition("[*]")
+    if "[*]" in tail:
+        raise ConfigurationError("a JSON path may contain one [*]")
+    valid = parse_json_strict(strip(F.col("content"))).isNotNull()
+    checked = computed_once(texts.withColumn("__valid", valid), ["__valid"])
     if star:
-        if "[*]" in tail:
-            raise ConfigurationError("a JSON path may contain one [*]")
-        elements = F.try_variant_get("__root", head, "array<variant>")
-        at_path = parsed.select("source", "row", "__root", F.posexplode_outer(elements).alias("__pos", "__element"))
-        found = F.try_variant_get("__element", f"${tail}", "variant")
-        position = F.col("__pos")
+        elements = F.from_json(F.get_json_object("content", head), "array<string>")
+        found = checked.select(
+            "source", "row", "__valid", F.posexplode_outer(F.when(F.col("__valid"), elements)).alias("__pos", "text")
+        )
+        if tail:
+            found = found.withColumn("text", F.get_json_object("text", f"${tail}"))
     else:
-        at_path = parsed
-        found = F.try_variant_get("__root", path, "variant")
-        position = F.lit(None)
-    kind = json_kind(F.col("__found"))
+        value = F.when(F.col("__valid"), F.get_json_object("content", path))
+        found = checked.withColumn("__pos", F.lit(None).cast("int")).withColumn("text", value)
     return (
-        at_path.withColumn("__found", found)
-        .where(F.col("__root").isNull() | F.col("__found").isNotNull())
+        computed_once(found, ["text"])
+        .where(~F.col("__valid") | F.col("text").isNotNull())
         .select(
             "source",
             "row",
-            F.when(kind == "string", F.try_variant_get("__found", "$", "string"))
-            .when(kind != "null", F.to_json("__found"))
-            .alias("text"),
+            "text",
             _metadata(
                 source=F.col("source"),
-                seq_num=position,
-                error=F.when(F.col("__root").isNull(), F.lit("invalid JSON")),
+                seq_num=F.col("__pos"),
+                error=F.when(~F.col("__valid"), F.lit("invalid JSON")),
             ).alias("metadata"),
         )
     )

@@ -211,7 +211,7 @@ def sql_decoded(text: str) -> str:
     return f"replace({text}, '&amp;', '&')"
 
 
-SQL_MARKUP = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->|/?[a-zA-Z!][^>]*>)"
+SQL_MARKUP = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->|/?[a-zA-Z!?][^>]*>)"
 
 
 def sql_page_text(html: str) -> str:
