@@ -59,7 +59,8 @@ def json_kind(value: Column) -> Column:
 def _float_text(value: Column) -> Column:
     """Shortest text of a double with the exponent rules of Python's ``repr``.
 
-    Java switches to exponents below 1e-3 and from 1e7 on, Python below 1e-4 and from 1e16 on.
+    Java switches to exponents below 1e-3 and from 1e7 on, Python below 1e-4 and from 1e16 on. Before
+    version 19, Java writes a few doubles with one digit more than needed, and so does this.
     """
     java = value.cast("string")
     sign = F.when(java.startswith("-"), F.lit("-")).otherwise(F.lit(""))
