@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import types as T
 
 from recordloom.errors import ConfigurationError
+from recordloom.functions.sql import named
 
 # Field types of a format and the Spark type each is stored as.
 SPARK_TYPES: dict[str, T.DataType] = {
@@ -81,9 +82,9 @@ class FormatSpec:
         record = {f.name: f.example_value() for f in self.fields}
         return json.dumps([record], ensure_ascii=False, separators=(",", ":"))
 
-    def typed_columns(self, column_of: Callable[[str], Column]) -> dict[str, tuple[Column, str]]:
-        """Columns of a record with their types, in format order."""
-        return {f.name: (column_of(f.name), f.type) for f in self.fields}
+    def typed_columns(self, *parents: str) -> dict[str, tuple[str, str]]:
+        """Column (SQL text) and type of each field, in format order; ``parents`` lead to a struct of them."""
+        return {f.name: (named(*parents, f.name), f.type) for f in self.fields}
 
 
 def _strings(*names: str) -> tuple[Field, ...]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recordloom.functions.sql import quoted
+
 # The characters Python's str.strip() removes.
 STRIP_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -33,9 +35,6 @@ NAMED_ENTITIES = {
 }
 
 ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-z]+);"
-# Every run of spaces, line feeds and no-break spaces but a single space, which stays as it is.
-SPACE_RUN = "[\n\u00a0][ \n\u00a0]*| [ \n\u00a0]+"
-
 # A script, style or comment with all it holds, or one tag.
 HTML_MARKUP = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->|/?[a-zA-Z!?][^>]*>)"
 HTML_TITLE = r"(?is)<title[^>]*>(.*?)</title\s*>"
@@ -50,48 +49,48 @@ def strip(text: Column) -> Column:
 
 def clean_whitespace(text: Column) -> Column:
     """Collapse runs of spaces, line feeds and no-break spaces to one space, then strip."""
-    return strip(F.regexp_replace(text, SPACE_RUN, " "))
+    spaces = F.replace(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit("\u00a0"), F.lit(" "))
+    return strip(F.regexp_replace(spaces, " {2,}", " "))
 
 
-def strip_fences(text: Column) -> Column:
-    """Inner text of a whole-text Markdown code fence (with or without ``json``), else the stripped text."""
-    body = strip(text)
-    closed = body.endswith("```")
+def stripped(text: str) -> str:
+    """:func:`strip` as SQL text."""
+    return f"btrim({text}, {quoted(STRIP_CHARS)})"
 
-    def inner(opening: str) -> Column:
-        return strip(F.substring(body, F.lit(len(opening) + 1), F.length(body) - len(opening) - 3))
 
-    return (
-        F.when(body.startswith("```json") & closed, inner("```json"))
-        .when(body.startswith("```") & closed, inner("```"))
-        .otherwise(body)
-    )
+def strip_fences(text: str) -> str:
+    """Inner text of a whole-text Markdown code fence (with or without ``json``), else the stripped text.
+
+    Takes and returns SQL text.
+    """
+    body = stripped(text)
 
+    def inner(opening: str) -> str:
+        return stripped(f"substring({body}, {len(opening) + 1}, length({body}) - {len(opening) + 3})")
 
-def _character(reference: Column) -> Column:
-    """Character of a reference without ``&`` and ``;``; NULL for an unknown name."""
-    is_hex = F.lower(F.substring(reference, 2, 1)) == "x"
-    number = (
-        F.when(is_hex, F.conv(F.substring(reference, 3, 8), 16, 10)).otherwise(F.substring(reference, 2, 8)).cast("bigint")
+    closed = f"endswith({body}, '```')"
+    return (
+        f"CASE WHEN startswith({body}, '```json') AND {closed} THEN {inner('```json')} "
+        f"WHEN startswith({body}, '```') AND {closed} THEN {inner('```')} ELSE {body} END"
     )
-    valid = (number < 0xD800) | ((number > 0xDFFF) & (number <= 0x10FFFF))
-    utf32 = F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0"))
-    names = F.create_map(*[F.lit(v) for pair in NAMED_ENTITIES.items() for v in pair])
-    return F.when(reference.startswith("#"), F.decode(utf32, "UTF-32")).otherwise(F.try_element_at(names, reference))
 
 
-def decode_entities(text: Column) -> Column:
-    """Decode named and numeric character references, each distinct one once.
+def decode_entities(text: str) -> str:
+    """Decode named and numeric character references, each distinct one once. Takes and returns SQL text.
 
     References to ``&`` come last, so nothing is decoded twice.
     """
-    references = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(1)))
-    pairs = F.transform(references, lambda r: F.struct(r.alias("r"), _character(r).alias("c")))
-    known = F.filter(pairs, lambda p: p["c"].isNotNull())
-    ordered = F.concat(F.filter(known, lambda p: p["c"] != "&"), F.filter(known, lambda p: p["c"] == "&"))
-    return F.aggregate(
-        ordered, text, lambda acc, p: F.replace(acc, F.concat(F.lit("&"), p["r"], F.lit(";")), p["c"])
+    names = ", ".join(f"{quoted(name)}, {quoted(char)}" for name, char in NAMED_ENTITIES.items())
+    number = "cast(if(lower(substring(r, 2, 1)) = 'x', conv(substring(r, 3), 16, 10), substring(r, 2)) as bigint)"
+    valid = f"{number} < 55296 OR {number} BETWEEN 57344 AND 1114111"
+    char = (
+        f"CASE WHEN startswith(r, '#') THEN decode(unhex(lpad(hex(if({valid}, {number}, 65533L)), 8, '0')), 'UTF-32') "
+        f"ELSE try_element_at(map({names}), r) END"
     )
+    references = f"array_distinct(regexp_extract_all({text}, {quoted(ENTITY)}, 1))"
+    known = f"filter(transform({references}, r -> struct(r, {char} AS c)), p -> p.c IS NOT NULL)"
+    ordered = f"array_sort({known}, (p, q) -> if(p.c = '&', 1, 0) - if(q.c = '&', 1, 0))"
+    return f"aggregate({ordered}, {text}, (done, p) -> replace(done, concat('&', p.r, ';'), p.c))"
 
 
 def visible_markup(markup: Column) -> Column:
@@ -99,16 +98,6 @@ def visible_markup(markup: Column) -> Column:
     return F.regexp_replace(markup, HTML_MARKUP, " ")
 
 
-def html_to_text(html: Column) -> Column:
-    """Visible text of a page, whitespace collapsed."""
-    return clean_whitespace(decode_entities(visible_markup(html)))
-
-
-def html_title(html: Column) -> Column:
-    """Text of the first ``title`` element, empty if there is none."""
-    return clean_whitespace(decode_entities(F.regexp_extract(html, HTML_TITLE, 1)))
-
-
 def is_web_url(value: Column) -> Column:
     """True for ``http``/``https`` with a network location; false for NULL and for unbalanced brackets."""
     netloc = F.regexp_extract(F.regexp_replace(value, URL_HEAD, ""), WEB_NETLOC, 1)

@@ -91,5 +91,5 @@ def preview(
     records: DataFrame, spec: FormatSpec, rows: int = PREVIEW_ROWS, order: Sequence[str] = ARRIVAL
 ) -> DataFrame:
     """The first few records in arrival order as indented JSON: ``(*order, preview)``."""
-    text = indented_json(spec.typed_columns(lambda name: F.col(f"`{name}`")))
+    text = F.expr(indented_json(spec.typed_columns()))
     return records.orderBy(*order).limit(rows).select(*order, text.alias("preview"))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from recordloom.errors import ConfigurationError
 from recordloom.formats import SPARK_TYPES, FormatSpec, custom
-from recordloom.functions.json_text import json_kind, parse_json_strict
-from recordloom.functions.text import strip
+from recordloom.functions.json_text import json_kind, opening_kind, parse_json_strict, variant_field
+from recordloom.functions.sql import named, quoted
+from recordloom.functions.text import stripped
 from recordloom.session import prepare
 
 # Kinds of example values that agree with a declared type; null always does.
@@ -30,35 +31,39 @@ def read_definitions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _field_findings(body: Column) -> Column:
-    """Array of ``(severity, reason)`` for one field definition."""
+def _finding(severity: str, reason: str) -> str:
+    return f"named_struct('severity', '{severity}', 'reason', '{reason}')"
 
-    def part(name: str) -> Column:
-        return F.try_variant_get(body, f"$.{name}", "variant")
 
-    def text_of(name: str) -> Column:
-        return F.when(json_kind(part(name)) == "string", F.try_variant_get(body, f"$.{name}", "string"))
+def _field_findings(body: str) -> str:
+    """Array of ``(severity, reason)`` for one field definition (a variant), as SQL text."""
 
-    def finding(severity: str, reason: str) -> Column:
-        return F.struct(F.lit(severity).alias("severity"), F.lit(reason).alias("reason"))
+    def kind(part: str) -> str:
+        return json_kind(variant_field(body, part))
 
-    declared = text_of("type")
-    known_type = F.coalesce(declared.isin(*SPARK_TYPES), F.lit(False))
-    described = F.coalesce(strip(text_of("description")) != "", F.lit(False))
-    required_kind = json_kind(part("required"))
-    example_kind = json_kind(part("example"))
-    agrees = F.lit(False)
-    for type_name, kinds in EXAMPLE_KINDS.items():
-        agrees = agrees | ((declared == type_name) & example_kind.isin(*kinds))
-    findings = F.array(
-        F.when(~known_type, finding("error", "invalid_type")),
-        F.when(~described, finding("error", "invalid_description")),
-        F.when(required_kind != "boolean", finding("error", "invalid_required")),
-        F.when(known_type & example_kind.isNotNull() & ~agrees, finding("warning", "example_type")),
+    def text(part: str) -> str:
+        return f"CASE WHEN {kind(part)} = 'string' THEN {variant_field(body, part, 'string')} END"
+
+    types = ", ".join(quoted(name) for name in SPARK_TYPES)
+    known_type = f"coalesce({text('type')} IN ({types}), false)"
+    described = f"coalesce({stripped(text('description'))} <> '', false)"
+    agreeing = " ".join(
+        f"WHEN '{name}' THEN {kind('example')} IN ({', '.join(quoted(k) for k in kinds)})"
+        for name, kinds in EXAMPLE_KINDS.items()
+    )
+    findings = ", ".join(
+        f"CASE WHEN {condition} THEN {_finding(severity, reason)} END"
+        for condition, severity, reason in (
+            (f"NOT {known_type}", "error", "invalid_type"),
+            (f"NOT {described}", "error", "invalid_description"),
+            (f"{kind('required')} <> 'boolean'", "error", "invalid_required"),
+            (f"NOT (CASE {text('type')} {agreeing} ELSE true END)", "warning", "example_type"),
+        )
+    )
+    return (
+        f"CASE WHEN {json_kind(body)} = 'object' THEN filter(array({findings}), f -> f IS NOT NULL) "
+        f"ELSE array({_finding('error', 'field_not_an_object')}) END"
     )
-    return F.when(
-        F.coalesce(json_kind(body) == "object", F.lit(False)), F.filter(findings, lambda f: f.isNotNull())
-    ).otherwise(F.array(finding("error", "field_not_an_object")))
 
 
 def check_definitions(definitions: DataFrame) -> DataFrame:
@@ -67,37 +72,33 @@ def check_definitions(definitions: DataFrame) -> DataFrame:
     ``field`` is NULL for findings about the whole file. A definition without ``error`` rows is usable.
     """
     prepare(definitions.sparkSession)
-    fields = F.col("__fields")
     whole_file = (
-        F.when(F.col("__root").isNull(), F.lit("invalid_json"))
-        .when(json_kind(F.col("__root")) != "object", F.lit("root_not_an_object"))
-        .when(F.coalesce(json_kind(fields) != "object", F.lit(True)), F.lit("fields_not_an_object"))
-        .when(F.size("__map") == 0, F.lit("fields_empty"))
+        "CASE WHEN __root IS NULL THEN 'invalid_json' WHEN __kind <> 'object' THEN 'root_not_an_object' "
+        f"WHEN coalesce({json_kind('__fields')} <> 'object', true) THEN 'fields_not_an_object' "
+        "WHEN size(__map) = 0 THEN 'fields_empty' END"
     )
     parsed = (
-        definitions.withColumn("__root", parse_json_strict(strip(F.col("text"))))
-        .withColumn("__fields", F.try_variant_get("__root", "$.fields", "variant"))
-        .withColumn("__map", F.try_variant_get("__root", "$.fields", "map<string,variant>"))
+        definitions.select("file", F.expr(stripped(named("text"))).alias("__text"))
+        .select("*", F.expr(parse_json_strict("__text")).alias("__root"))
+        .select(
+            "file",
+            "__root",
+            F.expr(opening_kind("__text")).alias("__kind"),
+            F.expr(variant_field("__root", "fields")).alias("__fields"),
+            F.expr(variant_field("__root", "fields", "map<string,variant>")).alias("__map"),
+        )
+        .select("file", "__map", F.expr(whole_file).alias("__finding"))
     )
     # One explode over field entries, or one entry without a field for a finding about the file.
-    entries = F.when(
-        whole_file.isNotNull(),
-        F.array(
-            F.struct(
-                F.lit(None).cast("string").alias("field"),
-                F.array(F.struct(F.lit("error").alias("severity"), whole_file.alias("reason"))).alias("findings"),
-            )
-        ),
-    ).otherwise(
-        F.transform(
-            F.map_entries("__map"),
-            lambda e: F.struct(e["key"].alias("field"), _field_findings(e["value"]).alias("findings")),
-        )
+    entries = (
+        "CASE WHEN __finding IS NOT NULL THEN array(named_struct('field', cast(NULL as string), 'findings', "
+        "array(named_struct('severity', 'error', 'reason', __finding)))) "
+        "ELSE transform(map_entries(__map), e -> named_struct('field', e.key, 'findings', "
+        f"{_field_findings('e.value')})) END"
     )
     return (
-        parsed.select("file", F.explode(entries).alias("e"))
-        .select("file", "e.field", F.explode("e.findings").alias("f"))
-        .select("file", "field", "f.severity", "f.reason")
+        parsed.select("file", F.expr(f"inline({entries})"))
+        .select("file", "field", F.expr("inline(findings)"))
     )
 
 

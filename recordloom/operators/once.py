@@ -7,18 +7,22 @@ A generator over the finished columns is a place filters do not move through.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.functions.sql import named, quoted
+
 
 def computed_once(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The same rows; later filters on ``columns`` are applied after these are computed."""
     others = [c for c in rows.columns if c not in columns]
-    return rows.select(*others, F.inline(F.array(F.struct(*columns))))
+    finished = ", ".join(f"{quoted(c)}, {named(c)}" for c in columns)
+    return rows.select(*others, F.expr(f"inline(array(named_struct({finished})))"))
 
 
-def kept_where(rows: DataFrame, condition: Column, keys: Sequence[str], values: Sequence[Column]) -> DataFrame:
-    """``keys`` and the named ``values`` of rows where ``condition`` holds, without filtering first."""
-    return rows.select(*keys, F.inline(F.when(condition, F.array(F.struct(*values)))))
+def kept_where(rows: DataFrame, condition: str, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
+    """``keys`` and ``values`` (SQL text by name) of rows where ``condition`` holds, without filtering first."""
+    packed = ", ".join(f"{quoted(name)}, {value}" for name, value in values.items())
+    return rows.select(*keys, F.expr(f"inline(CASE WHEN {condition} THEN array(named_struct({packed})) END)"))

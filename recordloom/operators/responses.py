@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions.json_text import opening_kind, parse_json_strict
+from recordloom.functions.sql import named
 from recordloom.functions.text import strip, strip_fences
 from recordloom.operators.once import computed_once
 from recordloom.session import prepare
@@ -42,25 +43,21 @@ def parse_responses(responses: DataFrame, content: str = "content") -> DataFrame
     The fence is removed, the rest must be one whole JSON value; a single object becomes a list of one.
     """
     prepare(responses.sparkSession)
-    value, kind = F.col("__value"), F.col("__kind")
     parsed = (
-        responses.withColumn("__text", strip_fences(F.col(content)))
-        .withColumn("__value", parse_json_strict(F.col("__text")))
-        .withColumn("__kind", F.when(value.isNotNull(), opening_kind(F.col("__text"))))
-        .withColumn(
-            "parse_status",
-            F.when(kind.isNull(), F.lit(PARSE_ERROR))
-            .when(kind.isin("object", "array"), F.lit(PARSED))
-            .otherwise(F.lit(NOT_A_LIST)),
-        )
-        .withColumn(
-            "items",
-            F.when(kind == "object", F.array(value)).when(
-                kind == "array", F.try_variant_get(value, "$", "array<variant>")
-            ),
-        )
+        responses.select("*", F.expr(strip_fences(named(content))).alias("__text"))
+        .select("*", F.expr(parse_json_strict("__text")).alias("__value"))
+        .select("*", F.expr(f"CASE WHEN __value IS NOT NULL THEN {opening_kind('__text')} END").alias("__kind"))
     )
-    return computed_once(parsed.drop("__text", "__value", "__kind"), ["parse_status", "items"])
+    status = (
+        f"CASE WHEN __kind IS NULL THEN '{PARSE_ERROR}' WHEN __kind IN ('object', 'array') THEN '{PARSED}' "
+        f"ELSE '{NOT_A_LIST}' END"
+    )
+    items = (
+        "CASE __kind WHEN 'object' THEN array(__value) "
+        "WHEN 'array' THEN try_variant_get(__value, '$', 'array<variant>') END"
+    )
+    shaped = parsed.select(*responses.columns, F.expr(status).alias("parse_status"), F.expr(items).alias("items"))
+    return computed_once(shaped, ["parse_status", "items"])
 
 
 def resolve_attempts(calls: DataFrame, max_retries: int, keys: Sequence[str] = ("batch_id",)) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.formats import Field, FormatSpec
-from recordloom.functions.json_text import field_path, item_hash, json_kind
-from recordloom.functions.text import strip
+from recordloom.functions.json_text import item_hash, json_kind, variant_field
+from recordloom.functions.sql import named, quoted
+from recordloom.functions.text import stripped
 from recordloom.operators.once import kept_where
 
 # Kinds of JSON values a field type takes besides its own.
@@ -18,39 +21,45 @@ ACCEPTED_KINDS = {
     "boolean": ("boolean",),
 }
 
-
-def _kind_name(i: int) -> str:
-    return f"__kind_{i}"
-
-
-def _value_name(i: int) -> str:
-    return f"__value_{i}"
+# Predicate of valid items over the output of ``validate_items``.
+IS_VALID = "(pos IS NOT NULL AND coalesce(size(reasons) = 0, false))"
 
 
-def _accepted(field: Field, bool_as_int: bool) -> tuple[str, ...]:
+def _accepted(field: Field, bool_as_int: bool) -> str:
+    """SQL list of the kinds a field takes."""
     kinds = ACCEPTED_KINDS[field.type]
-    return (*kinds, "boolean") if bool_as_int and field.type in ("integer", "float") else kinds
+    if bool_as_int and field.type in ("integer", "float"):
+        kinds = (*kinds, "boolean")
+    return ", ".join(quoted(k) for k in kinds)
 
 
-def _typed(field: Field, raw: Column, kind: Column, bool_as_int: bool) -> Column:
+def _typed(i: int, field: Field, bool_as_int: bool) -> str:
     """Value of the field, NULL unless its kind is accepted."""
     target = field.spark_type.simpleString()
-    plain = F.try_variant_get(raw, "$", target)
+    from_bool = ""
     if bool_as_int and field.type in ("integer", "float"):
-        from_bool = F.try_variant_get(raw, "$", "boolean").cast("int").cast(target)
-        plain = F.when(kind == "boolean", from_bool).otherwise(plain)
-    return F.when(kind.isin(*_accepted(field, bool_as_int)), plain)
+        from_bool = f"WHEN __kind_{i} = 'boolean' THEN cast(try_variant_get(__raw_{i}, '$', 'boolean') as {target})"
+    return (
+        f"CASE {from_bool} WHEN __kind_{i} IN ({_accepted(field, bool_as_int)}) "
+        f"THEN try_variant_get(__raw_{i}, '$', {quoted(target)}) END"
+    )
 
 
-def _reason(field: Field, kind: Column, value: Column, spec: FormatSpec, bool_as_int: bool) -> Column:
-    missing = F.when(kind.isNull(), F.lit(f"missing:{field.name}"))
+def _reason(i: int, field: Field, spec: FormatSpec, bool_as_int: bool) -> str:
+    missing = f"WHEN __kind_{i} IS NULL THEN {quoted(f'missing:{field.name}')}"
     if not field.required:
-        missing = F.when(kind.isNull() | (kind == "null"), F.lit(None).cast("string"))
-    check = missing.when(~kind.isin(*_accepted(field, bool_as_int)), F.lit(f"wrong_type:{field.name}"))
+        missing = f"WHEN __kind_{i} IS NULL OR __kind_{i} = 'null' THEN NULL"
+    constraint = ""
     if field.name in spec.constraints:
-        holds = F.coalesce(spec.constraints[field.name](value), F.lit(False))
-        check = check.when(~holds, F.lit(f"constraint:{field.name}"))
-    return check
+        constraint = f"WHEN NOT __holds_{i} THEN {quoted(f'constraint:{field.name}')}"
+    wrong = f"WHEN __kind_{i} NOT IN ({_accepted(field, bool_as_int)}) THEN {quoted(f'wrong_type:{field.name}')}"
+    return f"CASE {missing} {wrong} {constraint} END"
+
+
+def _listed(texts: Iterable[str]) -> str:
+    """Array of the texts that are not NULL."""
+    parts = ", ".join(texts)
+    return f"filter(array({parts}), t -> t IS NOT NULL)" if parts else "cast(array() as array<string>)"
 
 
 def validate_items(items: DataFrame, spec: FormatSpec, bool_as_int: bool = True, item: str = "item") -> DataFrame:
@@ -62,94 +71,75 @@ def validate_items(items: DataFrame, spec: FormatSpec, bool_as_int: bool = True,
     or null. Extra keys are dropped with a warning, blank required strings only warned of. Rows with NULL
     ``pos`` (batches without items) get NULL in all three columns.
     """
-    value = F.col(item)
+    value = named(item)
     fields = list(enumerate(spec.fields))
-    raw = {i: F.try_variant_get(value, field_path(f.name), "variant") for i, f in fields}
-    present = items.withColumn("__item_kind", json_kind(value))
-    with_kinds = present.select(
+    known = ", ".join(quoted(name) for name in spec.field_names)
+    keys = f"map_keys(try_variant_get({value}, '$', 'map<string,variant>'))"
+    raw = items.select(
         "*",
-        *[raw[i].alias(f"__raw_{i}") for i, _ in fields],
-        F.when(
-            F.col("__item_kind") == "object",
-            F.array_sort(
-                F.array_except(
-                    F.map_keys(F.try_variant_get(value, "$", "map<string,variant>")),
-                    F.array(*[F.lit(name) for name in spec.field_names]),
-                )
-            ),
-        ).alias("__extra"),
-    ).select("*", *[json_kind(F.col(f"__raw_{i}")).alias(_kind_name(i)) for i, _ in fields])
-    with_values = with_kinds.select(
-        "*",
-        *[
-            _typed(f, F.col(f"__raw_{i}"), F.col(_kind_name(i)), bool_as_int).alias(_value_name(i))
-            for i, f in fields
-        ],
+        F.expr(json_kind(value)).alias("__item_kind"),
+        *[F.expr(variant_field(value, f.name)).alias(f"__raw_{i}") for i, f in fields],
+        F.expr(f"array_sort(array_except({keys}, array({known})))").alias("__extra"),
     )
-    field_reasons = F.filter(
-        F.array(*[_reason(f, F.col(_kind_name(i)), F.col(_value_name(i)), spec, bool_as_int) for i, f in fields]),
-        lambda r: r.isNotNull(),
+    typed = raw.select("*", *[F.expr(json_kind(f"__raw_{i}")).alias(f"__kind_{i}") for i, _ in fields]).select(
+        "*", *[F.expr(_typed(i, f, bool_as_int)).alias(f"__value_{i}") for i, f in fields]
     )
-    blanks = [
-        F.when(strip(F.col(_value_name(i))) == "", F.lit(f"blank:{f.name}"))
+    constrained = [(i, f) for i, f in fields if f.name in spec.constraints]
+    if constrained:
+        typed = typed.select(
+            "*",
+            *[
+                F.coalesce(spec.constraints[f.name](F.col(f"__value_{i}")), F.lit(False)).alias(f"__holds_{i}")
+                for i, f in constrained
+            ],
+        )
+    record = ", ".join(f"{quoted(f.name)}, __value_{i}" for i, f in fields)
+    reasons = _listed(_reason(i, f, spec, bool_as_int) for i, f in fields)
+    blanks = _listed(
+        f"CASE WHEN {stripped(f'__value_{i}')} = '' THEN {quoted(f'blank:{f.name}')} END"
         for i, f in fields
         if f.type == "string" and f.required
-    ]
-    blank_warnings = (
-        F.filter(F.array(*blanks), lambda w: w.isNotNull()) if blanks else F.array().cast("array<string>")
     )
-    extra_warnings = F.transform("__extra", lambda key: F.concat(F.lit("extra:"), key))
-    is_item = F.col("pos").isNotNull()
-    is_object = F.coalesce(F.col("__item_kind") == "object", F.lit(False))
-    return with_values.select(
-        *items.columns,
-        F.when(
-            is_item & is_object, F.struct(*[F.col(_value_name(i)).alias(f.name) for i, f in fields])
-        ).alias("record"),
-        F.when(is_item & is_object, field_reasons)
-        .when(is_item, F.array(F.lit("not_an_object")))
-        .alias("reasons"),
-        F.when(is_item & is_object, F.concat(blank_warnings, extra_warnings))
-        .when(is_item, F.array().cast("array<string>"))
-        .alias("warnings"),
+    is_object = "coalesce(__item_kind = 'object', false)"
+    extra = "transform(__extra, key -> concat('extra:', key))"
+    return typed.selectExpr(
+        *[named(c) for c in items.columns],
+        f"CASE WHEN pos IS NOT NULL AND {is_object} THEN named_struct({record}) END AS record",
+        f"CASE WHEN pos IS NULL THEN NULL WHEN {is_object} THEN {reasons} ELSE array('not_an_object') END AS reasons",
+        f"CASE WHEN pos IS NULL THEN NULL WHEN {is_object} THEN concat({blanks}, {extra}) "
+        "ELSE cast(array() as array<string>) END AS warnings",
     )
 
 
-def is_valid() -> Column:
-    """Predicate of valid items over the output of :func:`validate_items`."""
-    return F.coalesce(F.size("reasons") == 0, F.lit(False)) & F.col("pos").isNotNull()
-
-
 def _keys(validated: DataFrame) -> list[str]:
     return [c for c in validated.columns if c not in ("item", "record", "reasons", "warnings")]
 
 
-def _record_hash(spec: FormatSpec, prefix: str = "") -> Column:
-    return item_hash(spec.typed_columns(lambda name: F.col(f"{prefix}`{name}`")))
-
-
 def valid_records(validated: DataFrame, spec: FormatSpec) -> DataFrame:
     """Valid items only: their keys, the fields of the format as columns, and ``hash``."""
-    fields = [F.col(f"record.`{name}`").alias(name) for name in spec.field_names]
-    records = kept_where(validated, is_valid(), _keys(validated), fields)
-    return records.withColumn("hash", _record_hash(spec))
+    fields = {name: named("record", name) for name in spec.field_names}
+    records = kept_where(validated, IS_VALID, _keys(validated), fields)
+    return records.select("*", F.expr(item_hash(spec.typed_columns())).alias("hash"))
 
 
 def item_outcomes(validated: DataFrame, spec: FormatSpec) -> DataFrame:
     """What became of each item, narrow: its keys, ``valid`` (NULL for a batch without items), ``hash``."""
     return validated.select(
         *_keys(validated),
-        F.when(F.col("pos").isNotNull(), is_valid()).alias("valid"),
-        F.when(is_valid(), _record_hash(spec, "record.")).alias("hash"),
+        F.expr(f"CASE WHEN pos IS NOT NULL THEN {IS_VALID} END").alias("valid"),
+        F.expr(f"CASE WHEN {IS_VALID} THEN {item_hash(spec.typed_columns('record'))} END").alias("hash"),
     )
 
 
 def rejects(validated: DataFrame) -> DataFrame:
     """Rejected items with their text and reasons."""
-    values = [F.to_json("item").alias("raw"), F.col("reasons")]
-    return kept_where(validated, F.size("reasons") > 0, _keys(validated), values)
+    return kept_where(
+        validated, "size(reasons) > 0", _keys(validated), {"raw": "to_json(item)", "reasons": "reasons"}
+    )
 
 
 def warned(validated: DataFrame) -> DataFrame:
     """Valid items that carry warnings, one row per warning."""
-    return validated.select(*_keys(validated), F.explode(F.when(is_valid(), F.col("warnings"))).alias("warning"))
+    return validated.select(
+        *_keys(validated), F.expr(f"explode(CASE WHEN {IS_VALID} THEN warnings END)").alias("warning")
+    )

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from recordloom.errors import ConfigurationError
 from recordloom.formats import FormatSpec
-from recordloom.functions.json_text import field_path, json_kind, parse_json_strict
+from recordloom.functions.json_text import opening_kind, parse_json_strict, variant_field
 from recordloom.functions.text import strip
+from recordloom.operators.once import computed_once
 from recordloom.session import prepare
 
 # Names of output formats; ``all`` stands for every one of them.
@@ -124,17 +125,20 @@ def save(
 
 
 def _jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, line, __value)``, the value NULL unless the line is one JSON object."""
     prepare(spark)
-    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
-    return lines.withColumn("__value", parse_json_strict(strip(F.col("line"))))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    parsed = lines.withColumn("__text", strip(F.col("line")))
+    value = f"CASE WHEN {opening_kind('__text')} = 'object' THEN {parse_json_strict('__text')} END"
+    parsed = parsed.withColumn("__value", F.expr(value))
+    return computed_once(parsed.drop("__text"), ["__value"])
 
 
 def read_jsonl(spark: SparkSession, path: str, spec: FormatSpec) -> DataFrame:
     """Records of a JSON Lines output; lines that are not JSON objects are skipped. A missing path raises."""
-    rows = _jsonl_lines(spark, path).where(F.coalesce(json_kind(F.col("__value")) == "object", F.lit(False)))
-    return rows.select(
+    return _jsonl_lines(spark, path).where(F.col("__value").isNotNull()).select(
         *[
-            F.try_variant_get("__value", field_path(f.name), f.spark_type.simpleString()).alias(f.name)
+            F.expr(variant_field("__value", f.name, f.spark_type.simpleString())).alias(f.name)
             for f in spec.fields
         ]
     )
@@ -142,11 +146,7 @@ def read_jsonl(spark: SparkSession, path: str, spec: FormatSpec) -> DataFrame:
 
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines :func:`read_jsonl` skips: ``(file, line)``."""
-    return (
-        _jsonl_lines(spark, path)
-        .where(F.coalesce(json_kind(F.col("__value")) != "object", F.lit(True)))
-        .select("file", "line")
-    )
+    return _jsonl_lines(spark, path).where(F.col("__value").isNull()).select("file", "line")
 
 
 def convert_jsonl(

@@ -15,12 +15,14 @@ from pyspark.sql import types as T
 
 from recordloom.errors import ConfigurationError, LoaderError
 from recordloom.functions.json_text import parse_json_strict
+from recordloom.functions.sql import named
 from recordloom.functions.text import (
+    HTML_TITLE,
     clean_whitespace,
     decode_entities,
-    html_title,
     is_web_url,
     strip,
+    stripped,
     visible_markup,
 )
 from recordloom.operators.once import computed_once
@@ -102,11 +104,13 @@ def _with_visible_text(rows: DataFrame, markup: str, title: str | None = None) -
     Done in steps whose results are computed once, whatever is later filtered on.
     """
     steps = rows.withColumn("text", visible_markup(F.col(markup)))
-    steps = steps.withColumn("text", decode_entities(F.col("text")))
+    steps = steps.withColumn("text", F.expr(decode_entities("text")))
     steps = steps.withColumn("text", clean_whitespace(F.col("text")))
     if title is None:
         return computed_once(steps, ["text"])
-    steps = steps.withColumn(title, html_title(F.col(markup)))
+    heading = steps.withColumn(title, F.regexp_extract(markup, HTML_TITLE, 1))
+    heading = heading.withColumn(title, F.expr(decode_entities(named(title))))
+    steps = heading.withColumn(title, clean_whitespace(F.col(title)))
     return computed_once(steps, ["text", title])
 
 
@@ -183,7 +187,7 @@ def _json_documents(texts: DataFrame, path: str) -> DataFrame:
     head, star, tail = path.partition("[*]")
     if "[*]" in tail:
         raise ConfigurationError("a JSON path may contain one [*]")
-    valid = parse_json_strict(strip(F.col("content"))).isNotNull()
+    valid = F.expr(parse_json_strict(stripped("content"))).isNotNull()
     checked = computed_once(texts.withColumn("__valid", valid), ["__valid"])
     if star:
         elements = F.from_json(F.get_json_object("content", head), "array<string>")

@@ -104,7 +104,8 @@ def fence_stripped(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(way == 3, F.concat(F.lit("```json\n"), text))
         .otherwise(F.concat(text, F.lit("\n```")))
     )
-    stripped = table(spark, sf_dir, "documents").select("doc_id", strip_fences(wrapped).alias("inner"))
+    fenced = table(spark, sf_dir, "documents").select("doc_id", wrapped.alias("fenced"))
+    stripped = fenced.select("doc_id", F.expr(strip_fences("fenced")).alias("inner"))
     return stripped.select("doc_id", F.length("inner").cast("bigint").alias("chars"), F.md5("inner").alias("inner_md5"))
 
 
@@ -129,13 +130,13 @@ def response_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content hash of documents as records with a text, a number and a fraction."""
     columns = {
-        "text": (F.col("text"), "string"),
-        "lang": (F.col("lang"), "string"),
-        "n_chars": (F.col("n_chars"), "integer"),
-        "share": (F.col("n_chars") / F.lit(8.0), "float"),
-        "long": (F.col("n_chars") > 2000, "boolean"),
+        "text": ("text", "string"),
+        "lang": ("lang", "string"),
+        "n_chars": ("n_chars", "integer"),
+        "share": ("n_chars / 8.0D", "float"),
+        "long": ("n_chars > 2000", "boolean"),
     }
-    return table(spark, sf_dir, "documents").select("doc_id", item_hash(columns).alias("hash"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.expr(item_hash(columns)).alias("hash"))
 
 
 def _hashed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +145,7 @@ def _hashed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("doc_id") % 25).alias("pos"),
         "doc_id",
         "source",
-        item_hash({"text": (F.col("text"), "string")}).alias("hash"),
+        F.expr(item_hash({"text": ("text", "string")})).alias("hash"),
     )
 
 
