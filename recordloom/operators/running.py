@@ -14,12 +14,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordloom.functions.sql import named
+
 BLOCK_ROWS = 4096
 
 
 def block_of(order: str, block_rows: int = BLOCK_ROWS) -> Column:
     """Number of the block an order key falls in."""
-    return F.floor(F.col(order) / F.lit(block_rows)).cast("bigint")
+    return F.expr(f"{named(order)} div {block_rows}")
+
+
+def _in_blocks(rows: DataFrame, order: str, block_rows: int) -> DataFrame:
+    # The filter is what the join on blocks would add to one side; on both, they can share a shuffle.
+    return rows.withColumn("__block", block_of(order, block_rows)).where(F.col("__block").isNotNull())
 
 
 def with_totals_before(
@@ -36,7 +43,7 @@ def with_totals_before(
     in_block = Window.partitionBy(*group, "__block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     blocks_before = Window.partitionBy(*group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     names = list(totals)
-    blocked = rows.withColumn("__block", block_of(order, block_rows))
+    blocked = _in_blocks(rows, order, block_rows)
     carried = (
         blocked.groupBy(*group, "__block")
         .agg(*[F.sum(totals[n]).alias(f"__sum_{n}") for n in names])
@@ -68,7 +75,7 @@ def with_run_length(
     in_block = Window.partitionBy(*group, "__block").orderBy(order)
     blocks_before = Window.partitionBy(*group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     local = (
-        rows.withColumn("__block", block_of(order, block_rows))
+        _in_blocks(rows, order, block_rows)
         .withColumn("__place", F.row_number().over(in_block).cast("bigint"))
         .withColumn("__reset_place", F.when(resets, F.col("__place")))
         .withColumn("__last_reset", F.max("__reset_place").over(in_block))

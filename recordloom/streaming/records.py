@@ -94,7 +94,7 @@ def stream_first(
             return
         kept = batch.persist()
         try:
-            cap_unique(kept, missing).write.mode("overwrite").parquet(f"{out}/micro_batch={micro_batch}")
+            cap_unique(kept, missing, stored=True).write.mode("overwrite").parquet(f"{out}/micro_batch={micro_batch}")
         finally:
             kept.unpersist()
         if written() >= n:

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
