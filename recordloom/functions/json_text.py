@@ -92,8 +92,10 @@ def _lower_escapes(json_text: str) -> str:
     for digit in "ABCDEF":
         pattern = rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}"
         lowered = f"regexp_replace({lowered}, {quoted(pattern)}, {quoted(f'$1{digit.lower()}')})"
-    any_upper = quoted(r"\\u00[01][A-F]")
-    return f"CASE WHEN {json_text} RLIKE {any_upper} THEN {lowered} ELSE {json_text} END"
+    escape, any_upper = quoted("\\u00"), quoted(r"\\u00[01][A-F]")
+    return (
+        f"CASE WHEN contains({json_text}, {escape}) AND {json_text} RLIKE {any_upper} THEN {lowered} ELSE {json_text} END"
+    )
 
 
 def _object_text(columns: Mapping[str, tuple[str, str]]) -> str:
