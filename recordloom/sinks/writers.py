@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from recordloom.errors import ConfigurationError
 from recordloom.formats import FormatSpec
 from recordloom.functions.json_text import opening_kind, parse_json_strict, variant_field
+from recordloom.functions.sql import named
 from recordloom.functions.text import strip
 from recordloom.operators.once import computed_once
 from recordloom.session import prepare
@@ -40,7 +41,7 @@ def _arranged(records: DataFrame, order: Sequence[str], files: int | None) -> Da
 
 
 def _columns(records: DataFrame, fields: Sequence[str] | None) -> DataFrame:
-    return records if fields is None else records.select(*[F.col(f"`{f}`") for f in fields])
+    return records if fields is None else records.select(*[F.col(named(f)) for f in fields])
 
 
 def write_jsonl(

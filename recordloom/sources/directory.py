@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from recordloom.errors import ConfigurationError, LoaderError
 from recordloom.sources.files import (
+    DOCUMENT_SCHEMA,
     read_csv_docs,
     read_html_docs,
     read_json_docs,
@@ -43,7 +44,6 @@ BINARY_EXTENSIONS = (
 
 UNSUPPORTED_POLICIES = ("text", "error", "quarantine")
 
-DOCUMENT_SCHEMA = "source string, row bigint, text string, metadata map<string,string>"
 QUARANTINE_SCHEMA = "source string, extension string, length bigint, reason string"
 
 
@@ -69,9 +69,10 @@ def _extension_of_name(path: str) -> str:
     return f".{ending.lower()}" if stem and dot and ending else ""
 
 
-def _any_case(extension: str) -> str:
-    """Glob of an extension in upper or lower case letters."""
-    return "*" + "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in extension)
+def _glob_of(extensions: Sequence[str]) -> str:
+    """Glob of file names with one of the extensions, in upper or lower case letters."""
+    endings = ("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in ext) for ext in extensions)
+    return "{" + ",".join(f"*{ending}" for ending in endings) + "}"
 
 
 def _is_url(path: str) -> bool:
@@ -148,7 +149,7 @@ def read_documents(
 ) -> tuple[DataFrame, DataFrame]:
     """Documents of a file or folder, and the quarantine of files that were not read.
 
-    Each known extension is read by one scan over the folder. ``unsupported`` says what becomes of other
+    Each kind of file is read by one scan over the folder. ``unsupported`` says what becomes of other
     files: read as ``text`` (parser formats excepted), ``error``, or ``quarantine``, whose rows are
     ``(source, extension, length, reason)``.
     """
@@ -169,10 +170,13 @@ def read_documents(
     label = F.when(known, F.col("extension")).otherwise(F.lit("other"))
     labels = {r.label for r in listed.select(label.alias("label")).distinct().collect()}
     folder = {**options, "recursiveFileLookup": str(recursive).lower()}
+    kinds: dict[str, list[str]] = {}
+    for ext, kind in EXTENSIONS.items():
+        if ext in labels:
+            kinds.setdefault(kind, []).append(ext)
     frames = [
-        _read_kind(spark, kind, path, how, {**folder, "pathGlobFilter": _any_case(ext)})
-        for ext, kind in EXTENSIONS.items()
-        if ext in labels
+        _read_kind(spark, kind, path, how, {**folder, "pathGlobFilter": _glob_of(extensions)})
+        for kind, extensions in kinds.items()
     ]
     others = listed.where(~known)
     quarantined = others

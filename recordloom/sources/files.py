@@ -6,8 +6,10 @@ for one-document files, the row number for Parquet, and elsewhere a number that
 
 from __future__ import annotations
 
+import urllib.parse
 import warnings
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from recordloom.functions.text import (
 from recordloom.operators.once import computed_once
 from recordloom.session import prepare
 
-DOCUMENT_COLUMNS = ("source", "row", "text", "metadata")
+DOCUMENT_SCHEMA = "source string, row bigint, text string, metadata map<string,string>"
 
 # Names of encodings as Python and as Spark know them.
 ENCODINGS = {
@@ -137,6 +139,24 @@ def pages_to_docs(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     return _page_documents(pages.where(is_web_url(F.col(url))), url, html)
 
 
+def _files_by_header(spark: SparkSession, paths: Sequence[str], options: dict[str, str] | None) -> list[list[str]]:
+    """Files with the same first line, each group as a list of paths.
+
+    Only the first line of each file comes back, as a row of its own; the file names are what a reader
+    given the same paths would list on the driver too.
+    """
+    lines = (
+        spark.read.options(**(options or {}))
+        .text(list(paths))
+        .select(F.col(FILE).alias("file"), F.monotonically_increasing_id().alias("place"), "value")
+    )
+    firsts = lines.groupBy("file").agg(F.min("place").alias("place"))
+    groups: dict[str, list[str]] = {}
+    for row in lines.join(firsts, ["file", "place"]).select("file", "value").toLocalIterator():
+        groups.setdefault(row.value, []).append(row.file)
+    return [sorted(files) for _, files in sorted(groups.items())]
+
+
 def read_csv_docs(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -144,18 +164,29 @@ def read_csv_docs(
     quote: str = '"',
     encoding: str = "utf-8",
     multi_line: bool = True,
+    mixed_headers: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """One document per row: ``column: value`` lines.
 
-    All files of one call share a header; a different one is an error, not a mix-up. ``multi_line`` allows
-    line breaks in quoted values but keeps a file in one task; turn it off for large files without them.
+    All files of one call share a header; a different one is an error, not a mix-up. ``mixed_headers``
+    looks up the header of every file first, which reads the files as text, and then reads those with the
+    same header together. ``multi_line`` allows line breaks in quoted values but keeps a file in one
+    task; turn it off for large files without them.
     """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if mixed_headers:
+        groups = _files_by_header(spark, paths, options)
+        frames = [
+            read_csv_docs(spark, [urllib.parse.unquote(f) for f in files], sep, quote, encoding, multi_line)
+            for files in groups
+        ]
+        return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], DOCUMENT_SCHEMA)
     rows = (
         spark.read.options(**(options or {}))
         .option("enforceSchema", "false")
         .csv(
-            [paths] if isinstance(paths, str) else list(paths),
+            paths,
             header=True,
             sep=sep,
             quote=quote,
@@ -166,7 +197,7 @@ def read_csv_docs(
         )
     )
     lines = [
-        F.concat(F.lit(f"{name.strip()}: "), strip(F.coalesce(F.col(f"`{name}`"), F.lit("")))) for name in rows.columns
+        F.concat(F.lit(f"{name.strip()}: "), strip(F.coalesce(F.col(named(name)), F.lit("")))) for name in rows.columns
     ]
     return rows.select(
         F.col(FILE).alias("source"),
@@ -238,7 +269,7 @@ def read_json_docs(
 
 def _iso(name: str, data_type: T.DataType) -> Column:
     """A column as metadata text; timestamps in ISO form, with a fraction only if there is one."""
-    value = F.col(f"`{name}`")
+    value = F.col(named(name))
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         seconds = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
         fraction = F.date_format(value, ".SSSSSS")
@@ -271,10 +302,10 @@ def rows_to_docs(
         if missing:
             warnings.warn(f"metadata columns not found: {missing}", stacklevel=2)
     if content_column is not None:
-        text = F.col(f"`{content_column}`").cast("string")
+        text = F.col(named(content_column)).cast("string")
     else:
         text = F.to_json(
-            F.struct(*[F.col(f"`{c}`") for c in types]),
+            F.struct(*[F.col(named(c)) for c in types]),
             {
                 "ignoreNullFields": "false",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSS",

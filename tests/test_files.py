@@ -79,6 +79,12 @@ def test_csv_headers_are_not_mixed_up(spark, tmp_path):
     folder = put(tmp_path, a_dot_csv="x,y\n1,2\n", b_dot_csv="y,x\n3,4\n")
     with pytest.raises(Exception, match="(?i)header"):
         read_csv_docs(spark, folder).collect()
+    put(tmp_path, c_dot_csv="x,y\n5,6\n", **{"d e_dot_csv": "z\n7\n"})
+    mixed = read_csv_docs(spark, folder, mixed_headers=True)
+    assert sorted(r.text for r in mixed.collect()) == ["x: 1\ny: 2", "x: 5\ny: 6", "y: 3\nx: 4", "z: 7"]
+    documents, _ = read_documents(spark, folder, how=ReadOptions(csv={"mixed_headers": True}))
+    assert documents.count() == 4
+
 
 
 def test_json(spark, tmp_path):

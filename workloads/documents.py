@@ -129,6 +129,18 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sentences(text: str) -> list[str]:
+    return text.split(". ")
+
+
+def document_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents split by a Python function."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.chunk_documents(documents, splitter=_sentences).groupBy("doc_id").agg(
+        F.count("*").alias("sentences"), F.max(F.length("text")).cast("bigint").alias("longest")
+    )
+
+
 def extracted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stripped texts of documents, some of which were made blank or NULL."""
     way = F.col("doc_id") % 9
@@ -184,6 +196,7 @@ QUERIES: dict[str, Query] = {
     "page_texts": page_texts,
     "document_chunks": document_chunks,
     "document_lines": document_lines,
+    "document_sentences": document_sentences,
     "extracted_texts": extracted_texts,
     "corpus_token_estimate": corpus_token_estimate,
     "whitespace_cleaned": whitespace_cleaned,
@@ -286,6 +299,9 @@ WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''""",
     "document_lines": """SELECT doc_id, count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS chars
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
 WHERE trim(line, ' ' || chr(9) || chr(13)) <> '' GROUP BY doc_id""",
+    "document_sentences": """SELECT doc_id, count(*) AS sentences, max(length(piece))::BIGINT AS longest
+FROM (SELECT doc_id, unnest(string_split(text, '. ')) AS piece FROM documents)
+WHERE trim(piece, ' ' || chr(9) || chr(10) || chr(13)) <> '' GROUP BY doc_id""",
     "extracted_texts": "SELECT doc_id, text FROM documents WHERE doc_id % 9 > 1",
     "corpus_token_estimate": """SELECT count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS chars,
   sum(length(text)) / 4.0::DOUBLE AS estimated_tokens, sum(length(text)) / 4.0 > 500000 AS is_large
