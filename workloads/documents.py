@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from recordloom.operators import prompts
 from recordloom.sources.files import pages_to_docs, read_parquet_docs
 from workloads.fixtures import CUSTOM, table
 
+# The splitter goes to the executors as it is.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 CONTEXT_CHARS = 20_000
