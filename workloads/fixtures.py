@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from recordloom.formats import Field, FormatSpec
 from recordloom.session import new_work_dir
 
-BATCH = 25
+BATCH = 50
 EVENT_BATCH = 10
 
 CUSTOM = FormatSpec(
@@ -43,12 +43,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def numbered_documents(documents: DataFrame) -> DataFrame:
-    """Documents with an item number ``id``; every tenth document also stands in for the one five later."""
-    copies = F.when(F.col("doc_id") % 10 == 0, F.array(F.lit(0), F.lit(5))).otherwise(F.array(F.lit(0)))
+    """All documents with an even item number ``id``; every tenth comes again a little later, with an odd one."""
+    ahead = F.when(F.col("doc_id") % 10 == 0, F.array(F.lit(0), F.lit(11))).otherwise(F.array(F.lit(0)))
     return (
-        documents.where(F.col("doc_id") % 10 != 5)
-        .select("doc_id", "text", "lang", "source", F.explode(copies).alias("ahead"))
-        .withColumn("id", F.col("doc_id") + F.col("ahead"))
+        documents.select("doc_id", "text", "lang", "source", F.explode(ahead).alias("ahead"))
+        .withColumn("id", F.col("doc_id") * 2 + F.col("ahead"))
         .drop("ahead")
     )
 
@@ -71,12 +70,12 @@ def _item_fields(format_name: str) -> dict[str, Column]:
 
 
 def _item_json(format_name: str) -> Column:
-    """JSON text of an item with the defect its number calls for."""
+    """JSON text of an item with the defect its document calls for."""
     fields = _item_fields(format_name)
     names = list(fields)
     first_text = "text" if format_name == "note" else names[0]
     last = names[-1]
-    defect = F.col("id") % 20
+    defect = F.col("doc_id") % 20
 
     def packed(values: dict[str, Column], keep_nulls: bool = False) -> Column:
         options = {"ignoreNullFields": "false"} if keep_nulls else {}
@@ -114,7 +113,7 @@ def _wrapped(listed: Column, batch: Column) -> Column:
 
 
 def document_responses(documents: DataFrame, format_name: str) -> DataFrame:
-    """Responses ``(batch_id, content)`` with the items of 25 documents each."""
+    """Responses ``(batch_id, content)`` with fifty item numbers, that is the items of 25 documents, each."""
     items = numbered_documents(documents).select(
         F.floor(F.col("id") / BATCH).alias("batch_id"),
         F.struct((F.col("id") % BATCH).alias("pos"), _item_json(format_name).alias("json")).alias("item"),

@@ -254,10 +254,9 @@ QUERIES: dict[str, Query] = {
 
 ITEMS = """
 items AS (
-  SELECT doc_id, text, lang, source, doc_id + ahead AS id,
-         (doc_id + ahead) // 25 AS batch_id, (doc_id + ahead) % 25 AS pos, (doc_id + ahead) % 20 AS defect
-  FROM (SELECT *, unnest(CASE WHEN doc_id % 10 = 0 THEN [0, 5] ELSE [0] END) AS ahead
-        FROM documents WHERE doc_id % 10 <> 5)
+  SELECT doc_id, text, lang, source, doc_id % 20 AS defect, (doc_id * 2 + ahead) // 50 AS batch_id,
+         row_number() OVER (PARTITION BY (doc_id * 2 + ahead) // 50 ORDER BY doc_id * 2 + ahead) - 1 AS pos
+  FROM (SELECT *, unnest(CASE WHEN doc_id % 10 = 0 THEN [0, 11] ELSE [0] END) AS ahead FROM documents)
 ),
 parsed AS (SELECT * FROM items WHERE batch_id % 8 NOT IN (6, 7))"""
 
