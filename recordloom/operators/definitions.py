@@ -66,7 +66,7 @@ def _field_findings(body: str) -> str:
     )
 
 
-def check_definitions(definitions: DataFrame) -> DataFrame:
+def check_format_definitions(definitions: DataFrame) -> DataFrame:
     """Findings ``(file, field, severity, reason)`` for rows of ``(file, text)``.
 
     ``field`` is NULL for findings about the whole file. A definition without ``error`` rows is usable.
@@ -112,7 +112,7 @@ def load_format(
         raise ConfigurationError(f"cannot read format definition {path}: {error}") from error
     if len(rows) != 1:
         raise ConfigurationError(f"{path}: expected one definition file, found {len(rows)}")
-    findings = check_definitions(spark.createDataFrame(rows, "file string, text string"))
+    findings = check_format_definitions(spark.createDataFrame(rows, "file string, text string"))
     errors = findings.where("severity = 'error'").orderBy("field", "reason").collect()
     if errors:
         listed = ", ".join(f"{e.reason}({e.field})" if e.field is not None else e.reason for e in errors)

@@ -140,6 +140,6 @@ def rejects(validated: DataFrame) -> DataFrame:
     return kept_where(validated, "NOT valid", _keys(validated), {"raw": "to_json(item)", "reasons": "reasons"})
 
 
-def warned(validated: DataFrame) -> DataFrame:
+def warn_items(validated: DataFrame) -> DataFrame:
     """Valid items that carry warnings, one row per warning."""
     return validated.select(*_keys(validated), F.expr("explode(CASE WHEN valid THEN warnings END)").alias("warning"))

@@ -18,7 +18,7 @@ from recordloom.sources.files import (
     read_csv_docs,
     read_html_docs,
     read_json_docs,
-    read_parquet_docs,
+    parquet_to_docs,
     read_text_docs,
 )
 
@@ -105,7 +105,7 @@ def _read_kind(
     if kind == "parquet":
         # Files of one folder may differ in their columns.
         merged = {"mergeSchema": "true", **options}
-        return read_parquet_docs(spark, paths, **how.parquet, options=merged)
+        return parquet_to_docs(spark, paths, **how.parquet, options=merged)
     return read_json_docs(
         spark, paths, how.json_path, lines=kind == "jsonl", encoding=how.encoding if kind == "json" else "utf-8",
         options=options,

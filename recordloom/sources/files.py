@@ -319,7 +319,7 @@ def rows_to_docs(
     return rows.select(source.alias("source"), row.alias("row"), text.alias("text"), metadata.alias("metadata"))
 
 
-def read_parquet_docs(
+def parquet_to_docs(
     spark: SparkSession,
     paths: str | Sequence[str],
     content_column: str | None = None,

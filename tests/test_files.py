@@ -15,7 +15,7 @@ from recordloom.sources.files import (
     read_csv_docs,
     read_html_docs,
     read_json_docs,
-    read_parquet_docs,
+    parquet_to_docs,
     read_text_docs,
 )
 
@@ -111,13 +111,13 @@ def test_parquet(spark, tmp_path):
     rows = [(1, "x", 0.5, stamp, [1]), (2, None, None, datetime.datetime(2024, 1, 1), None)]
     path = str(tmp_path / "t.parquet")
     spark.createDataFrame(rows, "id int, t string, f double, ts timestamp, l array<int>").coalesce(1).write.parquet(path)
-    first, second = read_parquet_docs(spark, path).orderBy("row").collect()
+    first, second = parquet_to_docs(spark, path).orderBy("row").collect()
     assert json.loads(first.text) == {"id": 1, "t": "x", "f": 0.5, "ts": "2024-05-06T07:08:09.120", "l": [1]}
     assert json.loads(second.text)["t"] is None
     assert first.metadata["ts"] == "2024-05-06T07:08:09.120000" and second.metadata["ts"] == "2024-01-01T00:00:00"
     assert (first.row, first.metadata["row"], first.metadata["l"]) == (0, "0", "[1]")
     with pytest.warns(UserWarning, match="nope"):
-        narrow = read_parquet_docs(spark, path, "t", ["id", "nope"])
+        narrow = parquet_to_docs(spark, path, "t", ["id", "nope"])
     assert [(r.text, sorted(r.metadata)) for r in narrow.orderBy("row").collect()] == [
         ("x", ["id", "row", "source"]), (None, ["id", "row", "source"]),
     ]
@@ -125,7 +125,7 @@ def test_parquet(spark, tmp_path):
     assert "ReadSchema: struct<id:int,t:str" in plan and "ts#" not in plan and "l#" not in plan
     assert extract_texts(narrow).count() == 1
     with pytest.raises(LoaderError):
-        read_parquet_docs(spark, path, "nope")
+        parquet_to_docs(spark, path, "nope")
 
 
 @pytest.fixture

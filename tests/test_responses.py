@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plain import check, content_hash, parse
 from recordloom.formats import BUILT_IN_FORMATS, Field, FormatSpec, built_in
 from recordloom.operators.responses import classify_responses, explode_items, parse_responses, resolve_attempts
-from recordloom.operators.validate import item_outcomes, rejects, valid_records, validate_items, warned
+from recordloom.operators.validate import item_outcomes, rejects, valid_records, validate_items, warn_items
 from recordloom.plans.records import records_from_responses, validated_items
 
 CUSTOM = FormatSpec(
@@ -108,7 +108,7 @@ def test_bad_items_do_not_fail_the_batch(spark):
 
 def test_warned_rows(spark):
     frame = validated(spark, [GOOD["pair"] | {"z": 1, "b": 2, "positive": ""}], built_in("pair"))
-    assert sorted(r.warning for r in warned(frame).collect()) == ["blank:positive", "extra:b", "extra:z"]
+    assert sorted(r.warning for r in warn_items(frame).collect()) == ["blank:positive", "extra:b", "extra:z"]
 
 
 def test_parse_status(spark):

@@ -14,7 +14,7 @@ from recordloom.functions.sizing import request_size
 from recordloom.functions.text import NAMED_ENTITIES, clean_whitespace, is_web_url, output_name
 from recordloom.operators import documents as docs
 from recordloom.operators import prompts
-from recordloom.sources.files import pages_to_docs, read_parquet_docs
+from recordloom.sources.files import pages_to_docs, parquet_to_docs
 from workloads.fixtures import CUSTOM, table
 
 # The splitter goes to the executors as it is.
@@ -168,7 +168,7 @@ def whitespace_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parquet_docs_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as documents: the priority as text, date and price as metadata."""
-    rows = read_parquet_docs(spark, f"{sf_dir}/orders.parquet", "o_orderpriority", ["o_orderdate", "o_custkey"])
+    rows = parquet_to_docs(spark, f"{sf_dir}/orders.parquet", "o_orderpriority", ["o_orderdate", "o_custkey"])
     metadata = F.col("metadata")
     return rows.select(
         "row",
@@ -182,7 +182,7 @@ def parquet_docs_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parquet_docs_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as documents: the whole row as JSON."""
-    return read_parquet_docs(spark, f"{sf_dir}/events.parquet").select(
+    return parquet_to_docs(spark, f"{sf_dir}/events.parquet").select(
         "row", "text", F.col("metadata")["ts"].alias("ts"), F.map_keys("metadata").cast("string").alias("keys")
     )
 
@@ -254,6 +254,23 @@ PACKED = f"""packed AS (
   FROM documents
 )"""
 
+NOTE_PROMPT = """You write training records in the format 'note'.
+Format: A numbered note.
+Structure: [{"id":1,"text":"sample text","score":1.23,"verified":false}]
+
+Rules:
+- Answer with one JSON list of objects and nothing else.
+- Give every required field its declared type.
+- Make every record different from the others.
+- Be concrete, consistent and true to the request.
+
+**Field Definitions:**
+- `id` (integer, (Required)): Number of the note (e.g., `1`)
+- `text` (string, (Required)): The note
+- `score` (float, (Optional)): How good it is
+- `verified` (boolean, (Optional)): Whether it was checked (e.g., `false`)
+"""
+
 PAIR_EXAMPLE = '[{"anchor": "...", "positive": "..."}]'
 
 ORACLES: dict[str, str] = {
@@ -271,6 +288,8 @@ FROM ahead WHERE missing > 0""",
     "query_prompt_rows": f"""SELECT conv_id, turn,
   'Write ' || (turn + 5) || ' different records for this request.' || chr(10) || chr(10) || 'Request: "' || text || '"'
   || chr(10) || chr(10) || 'Format: pair' || chr(10) || 'Structure: {PAIR_EXAMPLE}' || chr(10) AS human
+FROM conversations WHERE role = 'user'""",
+    "system_prompt_rows": f"""SELECT conv_id, turn, {sql_text(NOTE_PROMPT)} AS system
 FROM conversations WHERE role = 'user'""",
     "example_json": """SELECT item_id, '[{"id":1,"text":"sample text","score":1.23,"verified":false}]' AS example
 FROM benchmark""",

@@ -12,9 +12,9 @@ from recordloom.functions.json_text import item_hash
 from recordloom.functions.sizing import backoff_seconds
 from recordloom.functions.text import strip_fences
 from recordloom.operators import batches, dedup
-from recordloom.operators.definitions import check_definitions
+from recordloom.operators.definitions import check_format_definitions
 from recordloom.operators.responses import classify_responses, parse_responses, resolve_attempts
-from recordloom.operators.validate import rejects, warned
+from recordloom.operators.validate import rejects, warn_items
 from recordloom.plans.records import Records, records_from_responses, validated_items
 from workloads.fixtures import CUSTOM, EVENT, document_responses, event_responses, order_calls, part_definitions, table
 
@@ -57,7 +57,7 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept items by warning."""
     validated = validated_items(document_responses(table(spark, sf_dir, "documents"), "qa"), built_in("qa"))
-    return warned(validated).groupBy("warning").agg(F.count("*").alias("items"))
+    return warn_items(validated).groupBy("warning").agg(F.count("*").alias("items"))
 
 
 def response_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +217,7 @@ def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def format_definition_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings about the definitions made up from parts."""
-    return check_definitions(part_definitions(table(spark, sf_dir, "part")))
+    return check_format_definitions(part_definitions(table(spark, sf_dir, "part")))
 
 
 QUERIES: dict[str, Query] = {
