@@ -49,10 +49,15 @@ QUARANTINE_SCHEMA = "source string, extension string, length bigint, reason stri
 
 @dataclass(frozen=True)
 class ReadOptions:
-    """How files of the different kinds are read."""
+    """How files of the different kinds are read.
+
+    ``merge_schema`` looks at the columns of every Parquet file of a folder, which may differ; without it
+    the folder is taken to be one table.
+    """
 
     encoding: str = "utf-8"
     json_path: str = "$"
+    merge_schema: bool = True
     csv: dict[str, Any] = field(default_factory=dict)
     parquet: dict[str, Any] = field(default_factory=dict)
 
@@ -60,7 +65,7 @@ class ReadOptions:
 def extension_of(path: Column) -> Column:
     """Lower-case extension of a path with its dot, or an empty string."""
     name = F.substring_index(path, "/", -1)
-    return F.lower(F.regexp_extract(name, r"[^.](\.[^.]+)$", 1))
+    return F.lower(F.regexp_extract(name, r".(\.[^.]+)$", 1))
 
 
 def _extension_of_name(path: str) -> str:
@@ -103,8 +108,7 @@ def _read_kind(
     if kind == "csv":
         return read_csv_docs(spark, paths, **{"encoding": how.encoding, **how.csv}, options=options)
     if kind == "parquet":
-        # Files of one folder may differ in their columns.
-        merged = {"mergeSchema": "true", **options}
+        merged = {"mergeSchema": str(how.merge_schema).lower(), **options}
         return parquet_to_docs(spark, paths, **how.parquet, options=merged)
     return read_json_docs(
         spark, paths, how.json_path, lines=kind == "jsonl", encoding=how.encoding if kind == "json" else "utf-8",

@@ -1,6 +1,7 @@
 import datetime
 import json
 import os
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from recordloom.errors import ConfigurationError, LoaderError
 from recordloom.formats import Field, FormatSpec
 from recordloom.operators.documents import extract_texts
 from recordloom.sinks.writers import bad_lines, convert_jsonl, read_jsonl, save, selected_formats, write_csv, write_jsonl
-from recordloom.sources.directory import ReadOptions, read_documents, read_many
+from recordloom.sources.directory import ReadOptions, _extension_of_name, extension_of, read_documents, read_many
 from recordloom.sources.files import (
     pages_to_docs,
     read_csv_docs,
@@ -159,6 +160,14 @@ def test_folders(spark, mixed):
         read_documents(spark, mixed, unsupported="error", how=HOW)
 
 
+def test_extensions_are_those_of_the_standard_library(spark):
+    names = ["a.txt", "a.tar.GZ", ".bashrc", "a", "..x", "a..txt", ".a.txt", "x.y/b", "é.Md"]
+    frame = spark.createDataFrame([(f"file:/d.e/{n}",) for n in names], "p string")
+    got = [r.e for r in frame.select(extension_of(F.col("p")).alias("e")).collect()]
+    expected = [pathlib.PurePosixPath(f"/d.e/{n}").suffix.lower() for n in names]
+    assert got == expected and [_extension_of_name(f"/d.e/{n}") for n in names] == expected
+
+
 def test_single_files_and_bad_sources(spark, mixed):
     assert [r.text for r in read_documents(spark, f"{mixed}/B.TXT")[0].collect()] == ["two"]
     documents, quarantine = read_documents(spark, f"{mixed}/f.log")
