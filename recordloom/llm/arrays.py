@@ -140,6 +140,14 @@ class Words:
         return mix(np.add.reduceat(values, np.cumsum(count) - count) + count.astype(U64)) if len(texts) else np.zeros(0, U64)
 
 
+def window_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each stretch of 64-bit values, the same wherever the stretch begins."""
+    up, down = _powers.first(len(values) + 1)
+    sums = np.zeros(len(values) + 1, U64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * down[starts]
+
+
 def characters(raw: np.ndarray) -> np.ndarray:
     """For each byte position, how many characters begin before it."""
     out = np.zeros(len(raw) + 1, np.int64)

@@ -16,7 +16,6 @@ Result columns replace input columns of the same name.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,16 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordloom.llm.arrays import U64, mix, ragged, steps, without
+from recordloom.llm.arrays import U64, mix, ragged, steps, utf8, without
+from recordloom.llm.chunks import Remembered
 
 _BASE = 0x9E3779B97F4A7C15
 _STEP = U64(0xD6E8FEB86659FD93)
 _BITS = 20
-_WORD = re.compile(r" *[^ ]+| +")
 _SPACE, _ESCAPED = "▁", 0x110000  # no character has the second number
 UNKNOWN_PENALTY = 10.0
-#: Cells (characters of words) searched together, and words remembered by a worker.
-CELLS, REMEMBERED = 1 << 17, 1 << 20
+#: Cells (characters of words) searched together.
+CELLS = 1 << 17
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,43 +160,41 @@ class Encoder:
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self._forget()
+        self.known = Remembered(self._learn)
 
-    def _forget(self):
-        self.known: dict[str, int] = {}
-        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def _learn(self, new: list[str]):
-        new.sort(key=len)
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [w.decode() for w in words]
+        order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
         sizes, ids, i = [], [], 0
-        while i < len(new):
-            length = len(new[i])
+        while i < len(order):
+            length = len(texts[order[i]])
             j = i
-            while j < len(new) and len(new[j]) == length and (j - i) * length < CELLS:
+            while j < len(order) and len(texts[order[j]]) == length and (j - i) * length < CELLS:
                 j += 1
-            got, size = self.pieces.search(new[i:j])
+            got, size = self.pieces.search([texts[k] for k in order[i:j]])
             ids.append(got)
             sizes.append(size)
             i = j
         size = np.concatenate(sizes)
-        self.known.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
-        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.ids = np.concatenate([self.ids, *ids])
+        start = np.cumsum(size) - size
+        back = np.argsort(order)
+        return np.concatenate(ids)[ragged(start[back], size[back])], size[back]
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and where each text begins (and the last ends)."""
-        if len(self.known) > REMEMBERED:
-            self._forget()
-        cut = [_WORD.findall(f" {t}") if t else [] for t in texts]
-        new = list({w for words in cut for w in words if w not in self.known})
-        if new:
-            self._learn(new)
-        known = self.known
-        words = np.array([known[w] for text in cut for w in text], np.int64)
-        size = self.size[words]
-        ends = np.append(0, np.cumsum(size))[np.cumsum([0, *map(len, cut)])]
-        return self.ids[ragged(self.start[words], size)], ends
+        raw, offsets = utf8(column)
+        size = np.diff(offsets)
+        some = (size > 0).astype(np.int64)
+        edges = np.append(0, np.cumsum(size + some))
+        data = np.full(edges[-1], 32, np.uint8)  # with a space before each text
+        data[ragged(edges[:-1] + some, size)] = raw
+        space = data == 32
+        begin = space.copy()
+        begin[1:] &= ~space[:-1]
+        begin[edges[:-1][some > 0]] = True
+        starts = np.flatnonzero(begin)
+        ids, count = self.known.encode(data, starts, np.append(starts[1:], len(data)))
+        return ids, np.append(0, np.cumsum(count))[np.searchsorted(starts, edges)]
 
 
 def encode(
@@ -212,7 +209,7 @@ def encode(
         encoder = Encoder(model.value)
         for batch in steps(batches, text_column):
             text = batch.column(text_column)
-            ids, ends = encoder.encode(text.to_pylist())
+            ids, ends = encoder.encode(text)
             missing = text.is_null()
             ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids), mask=missing if text.null_count else None)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], ids], names=[*names, ids_column])

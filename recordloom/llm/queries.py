@@ -6,15 +6,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import decontaminate, importance, line_dedup, minhash, pieces
+from recordloom.llm import decontaminate, importance, line_dedup, minhash, neighbours, pieces, shards, tag_paths, token_files, url_trust
 
 PIECES = "piece_bpe_32k.model"
+BYTES, END = "byte_bpe_50k.json", 2
+SHARDS = 8
+RULES = [
+    url_trust.Rule("allow", "com"),
+    url_trust.Rule("block", "example.com", "/en/"),
+    url_trust.Rule("allow", "www.example.com", "/en/"),
+    url_trust.Rule("block", "net", "/es/"),
+    url_trust.Rule("block", "net", "/fr/"),
+]
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every document lies in eight shuffled shards."""
+    text = F.coalesce("text", F.lit(""))
+    digest = ["doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32")]
+    placed = shards.sharded(_read(spark, sf_dir, "documents"), SHARDS, digest)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated passages, and what was removed where."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -26,6 +43,18 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(_read(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every 50th vector."""
+    return neighbours.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as read back from the token files."""
+    digest = {"ids_crc32": F.crc32("ids")}
+    docs = _read(spark, sf_dir, "documents")
+    return token_files.tokenised(docs, public_tokenizers.path(BYTES), end_id=END, result=digest)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items found in it."""
     docs, items = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
@@ -46,6 +75,17 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict."""
+    judged = url_trust.judge(_read(spark, sf_dir, "pages"), RULES, keep=["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return tag_paths.extract(_read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that importance resampling keeps, with their log importance weight."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
@@ -53,11 +93,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op2_substring_dedup": op2_substring_dedup,
-    "op3_minhash": op3_minhash,
-    "op6_decontamination": op6_decontamination,
-    "op7_sentencepiece": op7_sentencepiece,
-    "op10_quality": op10_quality,
+    f.__name__: f
+    for f in (
+        op1_sharding,
+        op2_substring_dedup,
+        op3_minhash,
+        op4_nearest_neighbours,
+        op5_token_files,
+        op6_decontamination,
+        op7_sentencepiece,
+        op8_url_filter,
+        op9_html_text,
+        op10_quality,
+    )
 }
 
 _WORDS = (
@@ -88,4 +136,13 @@ ORACLES = {
             coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
         FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
     """,
+    "op4_nearest_neighbours": """
+        WITH v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x != 0)) > 0
+        ),
+        s AS (SELECT q.vec_id AS query_id, r.vec_id AS vec_id, list_cosine_similarity(q.e, r.e) AS score FROM v q JOIN v r ON q.vec_id % 50 = 0 AND q.vec_id != r.vec_id),
+        ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        SELECT * FROM ranked WHERE rank <= 5
+    """,
 }
