@@ -34,7 +34,7 @@ class _Powers:
 
     def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, STEP_BYTES + 1)
+            size = max(n, min(2 * len(self.up), STEP_BYTES + 1))
             up, down = np.full(size, _BASE, U64), np.full(size, pow(_BASE, -1, 1 << 64), U64)
             up[0] = down[0] = 1
             self.up, self.down = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)

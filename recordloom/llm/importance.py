@@ -155,20 +155,18 @@ def fit(docs: DataFrame, labels: dict, *, id_column: str = "doc_id", text_column
     read = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
     training = spark.sparkContext.broadcast({i: x for i, x in _one_of_each(read, labels).items() if not x[1]})
     counted = read.mapInArrow(_counter(training, "id", "text"), ", ".join(f"{c} long" for c in COUNTS))
-    table = counted.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in COUNTS[1:]]).toArrow()  # SIZE rows at most
-    raw, target, other = np.zeros((3, SIZE))
-    for name, into in zip(COUNTS[1:], (raw, target, other), strict=True):
-        into[table["bucket"].to_numpy()] = table[name].to_numpy()
-    weights = np.zeros(SIZE)
-    if target.sum() and other.sum():
-        ratio = np.log((target + 0.5) / (raw * (target.sum() / raw.sum()) + 0.5))
+    table = written(counted.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in COUNTS[1:]]), new_work_dir(spark, "features"))
+    raw, target, other = table.agg(*[F.sum(c) for c in COUNTS[1:]]).first()
+    weights = np.zeros(SIZE, np.int32)
+    if target and other:
+        share = target / (target + other)
+        ratio = F.expr(f"ln((target + 0.5D) / (raw * {target / raw!r}D + 0.5D))")
         # what the labels say by themselves: a bucket only unlabelled copies use says nothing about quality
-        share = target.sum() / (target.sum() + other.sum())
-        with np.errstate(divide="ignore", invalid="ignore"):
-            surprise = [np.where(n > 0, n * np.log(n / ((target + other) * p)), 0.0) for n, p in ((target, share), (other, 1 - share))]
-        settled = (2 * (surprise[0] + surprise[1]) > SURE**2) & (np.abs(ratio) > EVEN)
-        settled &= (ratio > 0) == (target * (1 - share) > other * share)
-        weights[settled] = np.rint(ratio[settled] * UNIT)
+        surprise = [f"if({c} > 0, {c} * ln({c} / ((target + other) * {p!r}D)), 0D)" for c, p in (("target", share), ("other", 1 - share))]
+        settled = F.expr(f"2 * ({surprise[0]} + {surprise[1]})") > SURE**2
+        agrees = (F.col("ratio") > 0) == F.expr(f"target * {1 - share!r}D > other * {share!r}D")
+        told = table.withColumn("ratio", ratio).where(settled & (F.abs("ratio") > EVEN) & agrees).select("bucket", "ratio").toArrow()
+        weights[told["bucket"].to_numpy()] = np.rint(told["ratio"].to_numpy() * UNIT)  # SIZE rows at most
     return Model(weights)
 
 

@@ -27,6 +27,7 @@ from recordloom.llm.arrays import U64, Words, characters, ragged, row_key, steps
 from recordloom.session import new_work_dir, written
 
 SPANS = "array<struct<start:int,stop:int,chars:int>>"
+UNITS = ("line", "paragraph", "sentence")
 ID, KEY, AGAIN = "__id", "__row_key", "__again"
 _END = np.zeros(256, bool)
 _END[[33, 46, 63]] = True
@@ -45,11 +46,9 @@ def unit_starts(raw: np.ndarray, offsets: np.ndarray, unit: str) -> np.ndarray:
     elif unit == "paragraph":
         cut = np.zeros(len(raw), bool)
         cut[1:] = line[1:] & line[:-1]
-    elif unit == "sentence":
+    else:
         cut = line.copy()
         cut[1:] |= space[1:] & _END[raw[:-1]]
-    else:
-        raise ValueError("unit is 'line', 'paragraph' or 'sentence'")
     # a unit begins at the first byte that is no space after a cut
     last_cut = np.maximum.accumulate(np.where(cut, np.arange(len(raw)), -1))
     last_solid = np.maximum.accumulate(np.where(~space, np.arange(len(raw)), -1))
@@ -83,6 +82,8 @@ def repeated_units(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", unit: str = "sentence"
 ) -> DataFrame:
     """For each document, the places of its units that occurred earlier: __id, __row_key, __again (sorted)."""
+    if unit not in UNITS:
+        raise ValueError(f"unit is one of {UNITS}")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):

@@ -123,7 +123,7 @@ def _parse(page: str, not_furniture: set[int]) -> list[Node]:
         if not found["tag"]:
             continue
         tag, rest = found["tag"].lower(), found["rest"].rstrip(">")
-        if tag not in INLINE and tag not in HIDDEN:
+        if tag not in INLINE and tag not in HIDDEN and not (stack and stack[-1][2]):
             block += 1
         if page[found.start() + 1] == "/":
             names = [e[0] for e in stack]

@@ -319,9 +319,10 @@ def test_main_text(html, text):
 
 
 def test_ratios_choose_content_paths():
-    nodes = tag_paths.text_nodes("<div><span>a</span><span>b</span></div><div>" + BODY * 3 + "</div>")
+    nodes = tag_paths.text_nodes("<div>" + "<span>a</span>" * 12 + "</div><div>" + BODY * 3 + "</div>")
     chosen = tag_paths.content(nodes)
-    assert all(c == ("p" in n.path.split("/")) for n, c in zip(nodes, chosen, strict=True) if len(n.text) > 9 or "span" in n.path)
+    paragraphs = [c for n, c in zip(nodes, chosen, strict=True) if "p" in n.path.split("/")]
+    assert all(paragraphs) and not any(chosen[:9])  # smoothing reaches three nodes far
 
 
 def test_pages(spark):
