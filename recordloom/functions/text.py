@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,29 +16,23 @@ STRIP_CHARS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Named character references that are decoded.
-NAMED_ENTITIES = {
-    "amp": "&",
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "nbsp": "\u00a0",
-    "copy": "©",
-    "reg": "®",
-    "middot": "·",
-    "hellip": "…",
-    "ndash": "–",
-    "mdash": "—",
-    "lsquo": "‘",
-    "rsquo": "’",
-    "ldquo": "“",
-    "rdquo": "”",
-}
-
-ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-z]+);"
-# A script, style or comment with all it holds, or one tag.
-HTML_MARKUP = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->|/?[a-zA-Z!?][^>]*>)"
+# Named character references, as the standard library has them: name -> characters.
+NAMED_ENTITIES = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
+
+
+def _windows_1252(number: int) -> str:
+    try:
+        return bytes([number]).decode("cp1252")
+    except UnicodeDecodeError:  # five numbers stand for nothing there
+        return chr(number)
+
+
+# Numeric references to these mean what they mean in Windows-1252.
+NUMBERS = {number: _windows_1252(number) for number in range(128, 160)}
+
+ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+# A script, style or comment with all it holds (to the end, if it is not closed), or one tag.
+HTML_MARKUP = r"(?is)<(?:script\b.*?(?:</script\s*>|\z)|style\b.*?(?:</style\s*>|\z)|!--.*?(?:-->|\z)|/?[a-zA-Z!?][^>]*>)"
 HTML_TITLE = r"(?is)<title[^>]*>(.*?)</title\s*>"
 URL_HEAD = r"^[\x00-\x20]+|[\t\r\n]"
 WEB_NETLOC = r"(?i)^https?://([^/?#]+)"
@@ -83,8 +79,10 @@ def decode_entities(text: str) -> str:
     names = ", ".join(f"{quoted(name)}, {quoted(char)}" for name, char in NAMED_ENTITIES.items())
     number = "cast(if(lower(substring(r, 2, 1)) = 'x', conv(substring(r, 3), 16, 10), substring(r, 2)) as bigint)"
     valid = f"{number} < 55296 OR {number} BETWEEN 57344 AND 1114111"
+    numbers = ", ".join(f"{number}L, {quoted(char)}" for number, char in NUMBERS.items())
+    character = f"decode(unhex(lpad(hex(if({valid}, {number}, 65533L)), 8, '0')), 'UTF-32')"
     char = (
-        f"CASE WHEN startswith(r, '#') THEN decode(unhex(lpad(hex(if({valid}, {number}, 65533L)), 8, '0')), 'UTF-32') "
+        f"CASE WHEN startswith(r, '#') THEN coalesce(try_element_at(map({numbers}), {number}), {character}) "
         f"ELSE try_element_at(map({names}), r) END"
     )
     references = f"array_distinct(regexp_extract_all({text}, {quoted(ENTITY)}, 1))"

@@ -139,7 +139,7 @@ ORACLES = {
     "op4_nearest_neighbours": """
         WITH v AS (
             SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x != 0)) > 0
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x != 0)) > 0
         ),
         s AS (SELECT q.vec_id AS query_id, r.vec_id AS vec_id, list_cosine_similarity(q.e, r.e) AS score FROM v q JOIN v r ON q.vec_id % 50 = 0 AND q.vec_id != r.vec_id),
         ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)

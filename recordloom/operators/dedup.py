@@ -15,9 +15,6 @@ from recordloom.session import new_work_dir, written
 
 ARRIVAL = ("batch_id", "pos")
 
-# Up to this many rows one task may hold for a top-N.
-SMALL_CAP = 1000
-
 
 def dedup_first(
     records: DataFrame, key: Sequence[str] = ("hash",), order: Sequence[str] = ARRIVAL
@@ -70,16 +67,10 @@ def cap_unique(
 ) -> DataFrame:
     """The first ``n`` unique records in arrival order, per group if one is given.
 
-    A small constant ``n`` is a top-N. A large or per-group one is answered through batch counts, so no
-    task holds more than one batch: batches are kept whole up to the one where ``n`` is reached. The
-    records are counted before they are cut, so they are written to the working folder first unless
-    they are ``stored`` (or persisted) already.
+    Answered through batch counts, so no task holds more than one batch: batches are kept whole up to the one
+    where ``n`` is reached. The records are counted before they are cut, so they are written to the working
+    folder first unless they are ``stored`` already.
     """
-    if isinstance(n, int) and n <= SMALL_CAP:
-        if not group:
-            return firsts.orderBy(*order).limit(n)
-        ranked = firsts.withColumn("__rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-        return ranked.where(F.col("__rank") <= n).drop("__rank")
     if not stored:
         firsts = written(firsts, new_work_dir(firsts.sparkSession, "unique"))
     batch_keys = [*group, order[0]]

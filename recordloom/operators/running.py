@@ -1,32 +1,37 @@
 """Running totals in arrival order that need no single task to see a whole group.
 
-A running total over a long group would send that group to one task. The order key (a batch number) is
-cut into fixed blocks instead: each block is summed on its own, one narrow row per block carries the
-totals of the blocks before it, and both are added. A task then sees ``block_rows`` rows of one group at
-most, plus, for the carry, one row per block of a group. Batch numbers are meant to be counted densely;
-gaps cost efficiency only, not correctness.
+A running total over a long group would send that group to one task. The order key is cut into ranges that hold
+about as many rows each (their bounds are quantiles of the key), whatever its values are: dense numbers, sparse
+ones or hashes. Each range of a group is summed on its own, one narrow row per range carries the totals of those
+before it, and both are added.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions.sql import named
 
+#: Rows of a range, as long as there are no more than ``RANGES`` ranges.
 BLOCK_ROWS = 4096
-
-
-def block_of(order: str, block_rows: int = BLOCK_ROWS) -> Column:
-    """Number of the block an order key falls in."""
-    return F.expr(f"{named(order)} div {block_rows}")
+RANGES = 256
 
 
 def _in_blocks(rows: DataFrame, order: str, block_rows: int) -> DataFrame:
-    # The filter is what the join on blocks would add to one side; on both, they can share a shuffle.
-    return rows.withColumn("__block", block_of(order, block_rows)).where(F.col("__block").isNotNull())
+    """Rows with the number of the range their order key lies in; rows without a key are left out."""
+    key = F.expr(named(order))
+    known = rows.where(key.isNotNull())
+    count = known.count()
+    ranges = min(RANGES, -(-count // block_rows))
+    if ranges < 2:
+        return known.withColumn("__block", F.lit(0))
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = known.agg(F.percentile_approx(key, shares, 10_000).alias("bounds")).first().bounds
+    listed = F.array(*[F.lit(b) for b in sorted(set(bounds))])
+    return known.withColumn("__block", F.size(F.filter(listed, lambda bound: bound < key)))
 
 
 def with_totals_before(

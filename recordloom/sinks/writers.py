@@ -17,7 +17,7 @@ from recordloom.functions.json_text import opening_kind, parse_json_strict, vari
 from recordloom.functions.sql import named
 from recordloom.functions.text import strip
 from recordloom.operators.once import computed_once
-from recordloom.session import prepare
+from recordloom.session import new_work_dir, prepare, written
 
 # Names of output formats; ``all`` stands for every one of them.
 OUTPUT_FORMATS = ("jsonl", "csv", "parquet")
@@ -104,25 +104,22 @@ def save(
 ) -> dict[str, str]:
     """Write ``{base}.{format}`` for each format; returns the paths written.
 
-    The records are computed once. Nothing is written for no records or no formats. ``fields`` is the
-    header; without it all columns are written.
+    The records are computed once: for several formats they are written as a table in the shared working folder
+    first, and every format is written from there. Nothing is written for no records or no formats. ``fields`` is
+    the header; without it all columns are written.
     """
     chosen = selected_formats(formats)
     if not chosen:
         warnings.warn("no output format given, nothing saved", stacklevel=2)
         return {}
-    kept = records.persist() if len(chosen) > 1 else records
-    try:
-        if kept.isEmpty():
-            warnings.warn("no records, nothing saved", stacklevel=2)
-            return {}
-        paths = {f: f"{base}.{f}" for f in chosen}
-        for name, path in paths.items():
-            WRITERS[name](kept, path, fields, order, files)
-        return paths
-    finally:
-        if len(chosen) > 1:
-            kept.unpersist()
+    kept = written(records, new_work_dir(records.sparkSession, "saved")) if len(chosen) > 1 else records
+    if kept.isEmpty():
+        warnings.warn("no records, nothing saved", stacklevel=2)
+        return {}
+    paths = {f: f"{base}.{f}" for f in chosen}
+    for name, path in paths.items():
+        WRITERS[name](kept, path, fields, order, files)
+    return paths
 
 
 def _jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -162,7 +159,7 @@ def convert_jsonl(
 
     A count other than ``expected`` is warned of, not an error.
     """
-    records = read_jsonl(spark, path, spec)
+    records = written(read_jsonl(spark, path, spec), new_work_dir(spark, "converted"))  # parsed once
     save(records, base, [f for f in selected_formats(formats) if f != "jsonl"], spec.field_names)
     wanted = F.lit(expected).cast("bigint")
     report = records.agg(F.count("*").alias("loaded")).select(

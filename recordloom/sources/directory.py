@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import fnmatch
+import re
+import sys
 import urllib.parse
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Any
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.errors import ConfigurationError, LoaderError
 from recordloom.sources.files import (
     DOCUMENT_SCHEMA,
+    one_spelling,
     read_csv_docs,
     read_html_docs,
     read_json_docs,
@@ -22,6 +28,9 @@ from recordloom.sources.files import (
     read_text_docs,
 )
 
+# The look at Parquet footers goes to the executors as it is.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # File extensions that are read, and how.
 EXTENSIONS = {
     ".txt": "text",
@@ -51,8 +60,8 @@ QUARANTINE_SCHEMA = "source string, extension string, length bigint, reason stri
 class ReadOptions:
     """How files of the different kinds are read.
 
-    ``merge_schema`` looks at the columns of every Parquet file of a folder, which may differ; without it
-    the folder is taken to be one table.
+    ``merge_schema`` looks at the columns of every Parquet file, which may differ: files with the same columns
+    are read together, each with its own columns only. Without it all files are taken to be one table.
     """
 
     encoding: str = "utf-8"
@@ -108,8 +117,7 @@ def _read_kind(
     if kind == "csv":
         return read_csv_docs(spark, paths, **{"encoding": how.encoding, **how.csv}, options=options)
     if kind == "parquet":
-        merged = {"mergeSchema": str(how.merge_schema).lower(), **options}
-        return parquet_to_docs(spark, paths, **how.parquet, options=merged)
+        return parquet_to_docs(spark, paths, **how.parquet, options=options)
     return read_json_docs(
         spark, paths, how.json_path, lines=kind == "jsonl", encoding=how.encoding if kind == "json" else "utf-8",
         options=options,
@@ -121,14 +129,14 @@ def _check_policy(unsupported: str) -> None:
         raise ConfigurationError(f"unsupported must be one of {UNSUPPORTED_POLICIES}")
 
 
-def list_files(spark: SparkSession, path: str, recursive: bool = False, glob: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, path: str | Sequence[str], recursive: bool = False, glob: str | None = None) -> DataFrame:
     """``(source, extension, length)`` of the files of a folder; contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
-        .load(path)
+        .load([path] if isinstance(path, str) else list(path))
         .select("path", "length")
-        .select(F.col("path").alias("source"), extension_of(F.col("path")).alias("extension"), "length")
+        .select(one_spelling(F.col("path")).alias("source"), extension_of(F.col("path")).alias("extension"), "length")
     )
     return files if glob is None else files.where(_matches(F.col("source"), glob))
 
@@ -142,6 +150,58 @@ def _union(frames: Sequence[DataFrame], spark: SparkSession, schema: str) -> Dat
     return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
 
 
+def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Columns of Parquet files as text, or why a file cannot be read; only footers are looked at."""
+    import pyarrow.fs
+    import pyarrow.parquet
+
+    for batch in batches:
+        columns, errors = [], []
+        for path in batch["source"]:
+            found = error = None
+            try:
+                if path.startswith("file:"):
+                    system, place = pyarrow.fs.LocalFileSystem(), path.removeprefix("file://")
+                else:
+                    system, place = pyarrow.fs.FileSystem.from_uri(urllib.parse.quote(path, safe=":/@%"))
+            except Exception:  # a file system only Spark knows: nothing can be told
+                found = ""
+            if found is None:
+                try:
+                    with system.open_input_file(place) as file:
+                        found = pyarrow.parquet.read_schema(file).remove_metadata().to_string()
+                except Exception as problem:
+                    error = f"{type(problem).__name__}: {problem}".split("\n")[0]
+            columns.append(found)
+            errors.append(error)
+        yield pd.DataFrame({"source": batch["source"], "columns": columns, "error": errors})
+
+
+def _read_tables(
+    spark: SparkSession, listed: DataFrame, how: ReadOptions
+) -> tuple[list[DataFrame], list[tuple[str, str]]]:
+    """Documents of the listed Parquet files, one scan per set of columns, and the files that cannot be read.
+
+    Footers are read by a distributed job. File names come back, as they do to any reader of a folder.
+    """
+    sources = listed.select("source").distinct()
+    probed = sources.repartition(spark.sparkContext.defaultParallelism).mapInPandas(_footers, "source string, columns string, error string")
+    groups: dict[str, list[str]] = {}
+    errors: list[tuple[str, str]] = []
+    for row in probed.toLocalIterator():
+        if row.error is not None:
+            errors.append((row.source, row.error))
+        else:
+            groups.setdefault(row["columns"] if how.merge_schema else "", []).append(row.source)
+    frames = []
+    for paths in (sorted(p) for p in groups.values()):
+        try:
+            frames.append(_read_kind(spark, "parquet", paths, how, {}))
+        except Exception as problem:  # a content column that is not there, say
+            errors += [(path, str(problem).split("\n")[0]) for path in paths]
+    return frames, errors
+
+
 def read_documents(
     spark: SparkSession,
     path: str,
@@ -149,13 +209,12 @@ def read_documents(
     glob: str | None = None,
     unsupported: str = "quarantine",
     how: ReadOptions | None = None,
-    skip_corrupt: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents of a file or folder, and the quarantine of files that were not read.
 
-    Each kind of file is read by one scan over the folder. ``unsupported`` says what becomes of other
-    files: read as ``text`` (parser formats excepted), ``error``, or ``quarantine``, whose rows are
-    ``(source, extension, length, reason)``.
+    Each kind of file is read by one scan over the folder (Parquet: one per set of columns). ``unsupported`` says
+    what becomes of other files: read as ``text`` (parser formats excepted), ``error``, or ``quarantine``, whose
+    rows are ``(source, extension, length, reason)``; Parquet files that cannot be read are there too.
     """
     _check_policy(unsupported)
     how = how or ReadOptions()
@@ -164,47 +223,53 @@ def read_documents(
     status = _status(spark, path)
     if status is None:
         raise ConfigurationError(f"path not found: {path}")
-    options = {"ignoreCorruptFiles": "true"} if skip_corrupt else {}
     if status[0] == "file":
-        return _read_files(spark, {_extension_of_name(path): [path]}, unsupported, how, options)
-
-    listed = list_files(spark, path, recursive, glob)
-    known = F.col("extension").isin(*EXTENSIONS)
+        return _read_files(spark, {_extension_of_name(path): [path]}, unsupported, how)
+    documents, listed, labels, errors = _read_folders(spark, [path], recursive, glob, unsupported, how)
+    others = listed.where(~F.col("extension").isin(*EXTENSIONS))
+    quarantined = others
+    if "other" in labels and unsupported == "error":
+        raise LoaderError(f"unsupported file format: {others.head().source}")
+    if "other" in labels and unsupported == "text":
+        quarantined = others.where(F.col("extension").isin(*BINARY_EXTENSIONS))
+    quarantined = quarantined.withColumn("reason", F.lit("unsupported_format"))
+    if errors:
+        unread = spark.createDataFrame(errors, "source string, reason string")
+        quarantined = quarantined.unionByName(listed.join(unread, "source").select(quarantined.columns))
+    return documents, quarantined
+
+
+def _read_folders(
+    spark: SparkSession, paths: Sequence[str], recursive: bool, glob: str | None, unsupported: str, how: ReadOptions
+) -> tuple[DataFrame, DataFrame, set[str], list[tuple[str, str]]]:
+    """Documents of folders, their files, the extensions found, and the files that cannot be read."""
+    listed = list_files(spark, paths, recursive, glob)
     # At most one row per known extension comes back, plus one for all others.
-    label = F.when(known, F.col("extension")).otherwise(F.lit("other"))
+    label = F.when(F.col("extension").isin(*EXTENSIONS), F.col("extension")).otherwise(F.lit("other"))
     labels = {r.label for r in listed.select(label.alias("label")).distinct().collect()}
-    folder = {**options, "recursiveFileLookup": str(recursive).lower()}
+    folder = {"recursiveFileLookup": str(recursive).lower()}
     kinds: dict[str, list[str]] = {}
     for ext, kind in EXTENSIONS.items():
         if ext in labels:
             kinds.setdefault(kind, []).append(ext)
-    frames = [
-        _read_kind(spark, kind, path, how, {**folder, "pathGlobFilter": _glob_of(extensions)})
-        for kind, extensions in kinds.items()
-    ]
-    others = listed.where(~known)
-    quarantined = others
-    if "other" in labels and unsupported == "error":
-        example = others.head()
-        raise LoaderError(f"unsupported file format: {example.source}")
+    frames: list[DataFrame] = []
+    errors: list[tuple[str, str]] = []
+    for kind, extensions in kinds.items():
+        if kind == "parquet":
+            tables, errors = _read_tables(spark, listed.where(F.col("extension").isin(*extensions)), how)
+            frames += tables
+        else:
+            frames.append(_read_kind(spark, kind, paths, how, {**folder, "pathGlobFilter": _glob_of(extensions)}))
     if "other" in labels and unsupported == "text":
-        readable = ~F.col("extension").isin(*BINARY_EXTENSIONS)
-        quarantined = others.where(~readable)
         ending = extension_of(F.col("source"))
-        everything = read_text_docs(spark, path, how.encoding, options=folder)
+        everything = read_text_docs(spark, paths, how.encoding, options=folder)
         frames.append(everything.where(~ending.isin(*EXTENSIONS, *BINARY_EXTENSIONS)))
     documents = _union(frames, spark, DOCUMENT_SCHEMA)
-    if glob is not None:
-        documents = documents.where(_matches(F.col("source"), glob))
-    return documents, quarantined.withColumn("reason", F.lit("unsupported_format"))
+    return (documents if glob is None else documents.where(_matches(F.col("source"), glob))), listed, labels, errors
 
 
 def _read_files(
-    spark: SparkSession,
-    by_extension: dict[str, list[str]],
-    unsupported: str,
-    how: ReadOptions,
-    options: dict[str, str],
+    spark: SparkSession, by_extension: dict[str, list[str]], unsupported: str, how: ReadOptions
 ) -> tuple[DataFrame, DataFrame]:
     """Documents and quarantine of single files, one scan per extension."""
     frames, left_out = [], []
@@ -213,26 +278,32 @@ def _read_files(
         if kind is None and unsupported == "text" and ext not in BINARY_EXTENSIONS:
             kind = "text"
         if kind is not None:
-            frames.append(_read_kind(spark, kind, paths, how, options))
+            frames.append(_read_kind(spark, kind, paths, how, {}))
         elif unsupported == "error":
             raise LoaderError(f"unsupported file format: {paths[0]}")
         else:
             left_out += paths
     quarantine = spark.createDataFrame([], QUARANTINE_SCHEMA)
     if left_out:
-        files = spark.read.format("binaryFile").load(left_out).select("path", "length")
-        quarantine = files.select(
-            F.col("path").alias("source"),
-            extension_of(F.col("path")).alias("extension"),
-            "length",
-            F.lit("unsupported_format").alias("reason"),
-        )
+        quarantine = list_files(spark, left_out).withColumn("reason", F.lit("unsupported_format"))
     return _union(frames, spark, DOCUMENT_SCHEMA), quarantine
 
 
-def _same_file(path: Column) -> Column:
-    """Path with the scheme of local files in one notation."""
-    return F.regexp_replace(path, "^file:/+", "file:/")
+def _folders_above(path: Column, recursive: bool) -> Column:
+    """A path and the folders it may have been read through: the one it is in, or all above it."""
+    parts = F.split(path, "/")
+    shortest = F.lit(1) if recursive else F.size(parts) - 1
+    return F.transform(F.sequence(shortest, F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+
+
+def _covered(path: str, folders: set[str], recursive: bool) -> bool:
+    """Whether a path lies in one of the folders that are read anyway."""
+    above = path.rsplit("/", 1)[0]
+    while above:
+        if above in folders:
+            return True
+        above = above.rpartition("/")[0] if recursive else ""
+    return False
 
 
 def read_many(
@@ -244,46 +315,71 @@ def read_many(
 ) -> tuple[DataFrame, DataFrame]:
     """Documents of several files and folders with their ``source_pos``, and ``(source_pos, source, error)``.
 
-    A source that cannot be read contributes no documents and stops nothing. Files with the same extension
-    share one scan, except CSV files, whose headers may differ.
+    A source that cannot be read contributes no documents and stops nothing; a file of a folder that cannot be read
+    is named in the errors by its path. All folders share the scans of their kinds, and so do all files of a kind;
+    the number of plans depends on kinds, headers and sets of columns, not on the number of sources.
     """
     _check_policy(unsupported)
     how = how or ReadOptions()
-    frames: list[DataFrame] = []
     errors: list[tuple[int, str, str]] = []
-    files: dict[str, list[tuple[int, str, str]]] = {}
-    for position, source in enumerate(sources):
-        try:
-            if _is_url(source):
-                raise ConfigurationError("fetching pages is not supported")
-            status = _status(spark, source)
-            if status is None:
-                raise ConfigurationError("path not found")
-            ext = _extension_of_name(source)
-            if status[0] == "directory":
-                documents, _ = read_documents(
-                    spark, source, recursive, unsupported=unsupported, how=how, skip_corrupt=True
-                )
-                frames.append(documents.withColumn("source_pos", F.lit(position)))
-            elif ext not in EXTENSIONS and (unsupported != "text" or ext in BINARY_EXTENSIONS):
-                raise LoaderError("unsupported file format")
-            elif EXTENSIONS.get(ext) == "csv":
-                documents, _ = _read_files(spark, {ext: [source]}, unsupported, how, {"ignoreCorruptFiles": "true"})
-                frames.append(documents.withColumn("source_pos", F.lit(position)))
-            else:
-                files.setdefault(ext, []).append((position, source, status[1]))
-        except Exception as problem:
-            errors.append((position, source, str(problem).split("\n")[0]))
-    for ext, entries in files.items():
-        paths = sorted({source for _, source, _ in entries})
-        try:
-            documents, _ = _read_files(spark, {ext: paths}, unsupported, how, {"ignoreCorruptFiles": "true"})
-        except Exception as problem:
-            errors += [(position, source, str(problem).split("\n")[0]) for position, source, _ in entries]
+    places: list[tuple[int, str]] = []
+    folders: dict[str, str] = {}
+    files: dict[str, dict[str, str]] = {}
+
+    def look(source: str) -> tuple[str, str] | None:
+        if _is_url(source):
+            raise ConfigurationError("fetching pages is not supported")
+        return _status(spark, source)
+
+    with ThreadPoolExecutor(min(32, len(sources) or 1)) as pool:  # one look at each source the caller names
+        looks = [pool.submit(look, source) for source in sources]
+    for position, (source, seen) in enumerate(zip(sources, looks, strict=True)):
+        problem = seen.exception()
+        if problem is not None or seen.result() is None:
+            errors.append((position, source, str(problem or "path not found").split("\n")[0]))
+            continue
+        kind, uri = seen.result()
+        uri = re.sub("^file:/+", "file:///", urllib.parse.unquote(uri)).rstrip("/")
+        ext = _extension_of_name(source)
+        if kind == "directory":
+            folders[uri] = source
+        elif ext not in EXTENSIONS and (unsupported != "text" or ext in BINARY_EXTENSIONS):
+            errors.append((position, source, "unsupported file format"))
             continue
-        # The caller's own list of paths: as small as the argument.
-        places = spark.createDataFrame([(p, uri) for p, _, uri in entries], "source_pos int, __uri string")
-        on_file = _same_file(documents["source"]) == _same_file(places["__uri"])
-        frames.append(documents.join(places, on_file).drop("__uri"))
-    documents = _union(frames, spark, f"{DOCUMENT_SCHEMA}, source_pos int")
-    return documents, spark.createDataFrame(errors, "source_pos int, source string, error string")
+        else:
+            files.setdefault(ext, {})[uri] = source
+        places.append((position, uri))
+
+    frames: list[DataFrame] = []
+    unread: list[tuple[str, str]] = []
+    outer = {u: s for u, s in folders.items() if not (recursive and _covered(u, set(folders), True))}
+    if outer:
+        documents, _, _, unread = _read_folders(spark, list(outer.values()), recursive, None, unsupported, how)
+        frames.append(documents)
+    for ext, named in files.items():
+        paths = sorted(s for u, s in named.items() if not _covered(u, set(outer), recursive))
+        if not paths:
+            continue
+        if EXTENSIONS.get(ext) == "parquet":
+            tables, bad = _read_tables(spark, list_files(spark, paths), how)
+            frames += tables
+            unread += bad
+            continue
+        own = replace(how, csv={"mixed_headers": True, **how.csv}) if ext == ".csv" else how
+        frames.append(_read_files(spark, {ext: paths}, unsupported, own)[0])
+    documents = _union(frames, spark, DOCUMENT_SCHEMA)
+    # The caller's own list of paths: as small as the argument.
+    place = spark.createDataFrame(places, "source_pos int, __uri string")
+    reached = documents.withColumn("__uri", F.explode(_folders_above(F.col("source"), recursive)))
+    position_of = {uri: position for position, uri in reversed(places)}
+    for path, reason in unread:
+        above = [u for u in (path, *_parents(path, recursive)) if u in position_of]
+        errors.append((position_of[above[0]] if above else -1, path, reason))
+    failures = spark.createDataFrame(sorted(errors), "source_pos int, source string, error string")
+    return reached.join(place, "__uri").drop("__uri"), failures
+
+
+def _parents(path: str, recursive: bool) -> list[str]:
+    """The folders a path may have been read through, nearest first."""
+    parts = path.split("/")
+    return ["/".join(parts[:n]) for n in range(len(parts) - 1, 0 if recursive else len(parts) - 2, -1)]

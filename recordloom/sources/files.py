@@ -6,11 +6,14 @@ for one-document files, the row number for Parquet, and elsewhere a number that
 
 from __future__ import annotations
 
-import urllib.parse
+import codecs
+import sys
 import warnings
 from collections.abc import Sequence
 from functools import reduce
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +33,9 @@ from recordloom.functions.text import (
 from recordloom.operators.once import computed_once
 from recordloom.session import prepare
 
+# The decoding of other encodings goes to the executors as it is.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DOCUMENT_SCHEMA = "source string, row bigint, text string, metadata map<string,string>"
 
 # Names of encodings as Python and as Spark know them.
@@ -47,15 +53,35 @@ ENCODINGS = {
     "utf-32": "UTF-32",
 }
 
-FILE = "_metadata.file_path"
+def one_spelling(path: Column) -> Column:
+    """A path as the library spells it everywhere: characters as they are, local files as ``file:///…``."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
+def file_path() -> Column:
+    """Path of the file a row was read from. (The metadata column has it percent-encoded.)"""
+    return one_spelling(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+
 
+def spark_encoding(name: str) -> str | None:
+    """Spark's name of an encoding, None if only Python has it."""
+    known = ENCODINGS.get(name.lower().replace("_", "-"))
+    if known is None:
+        try:
+            codecs.lookup(name)
+        except LookupError:
+            raise ConfigurationError(f"unknown encoding '{name}'") from None
+    return known
 
-def spark_encoding(name: str) -> str:
-    """Spark's name of an encoding."""
-    try:
-        return ENCODINGS[name.lower().replace("_", "-")]
-    except KeyError:
-        raise ConfigurationError(f"unsupported encoding '{name}'; known: {', '.join(ENCODINGS)}") from None
+
+def _decoded(encoding: str):
+    """Bytes to text by one of Python's encodings; bytes that mean nothing become U+FFFD."""
+
+    @F.pandas_udf("string")
+    def decode(contents: pd.Series) -> pd.Series:
+        return contents.map(lambda c: None if c is None else bytes(c).decode(encoding, "replace"))
+
+    return decode
 
 
 def _metadata(**entries: Column) -> Column:
@@ -74,9 +100,10 @@ def _whole_files(
     charset = spark_encoding(encoding)
     if charset == "UTF-8":
         files = spark.read.options(**(options or {})).text(paths, wholetext=True)
-        return files.select(F.col(FILE).alias("source"), F.col("value").alias("content"))
+        return files.select(file_path().alias("source"), F.col("value").alias("content"))
     files = spark.read.format("binaryFile").options(**(options or {})).load(paths)
-    return files.select(F.col(FILE).alias("source"), F.decode("content", charset).alias("content"))
+    text = F.decode("content", charset) if charset else _decoded(encoding)("content")
+    return files.select(one_spelling(F.col("path")).alias("source"), text.alias("content"))
 
 
 def read_text_docs(
@@ -142,17 +169,17 @@ def pages_to_docs(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
 def _files_by_header(spark: SparkSession, paths: Sequence[str], options: dict[str, str] | None) -> list[list[str]]:
     """Files with the same first line, each group as a list of paths.
 
-    Only the first line of each file comes back, as a row of its own; the file names are what a reader
-    given the same paths would list on the driver too.
+    One row per file comes back, with its name and first line; the file names are what a reader given the same
+    paths would list on the driver too.
     """
     lines = (
         spark.read.options(**(options or {}))
         .text(list(paths))
-        .select(F.col(FILE).alias("file"), F.monotonically_increasing_id().alias("place"), "value")
+        .where(F.col("_metadata.file_block_start") == 0)  # the first line is in the first part of a file
+        .select(file_path().alias("file"), F.monotonically_increasing_id().alias("place"), "value")
     )
-    firsts = lines.groupBy("file").agg(F.min("place").alias("place"))
     groups: dict[str, list[str]] = {}
-    for row in lines.join(firsts, ["file", "place"]).select("file", "value").toLocalIterator():
+    for row in lines.groupBy("file").agg(F.min_by("value", "place").alias("value")).toLocalIterator():
         groups.setdefault(row.value, []).append(row.file)
     return [sorted(files) for _, files in sorted(groups.items())]
 
@@ -178,10 +205,13 @@ def read_csv_docs(
     if mixed_headers:
         groups = _files_by_header(spark, paths, options)
         frames = [
-            read_csv_docs(spark, [urllib.parse.unquote(f) for f in files], sep, quote, encoding, multi_line)
+            read_csv_docs(spark, files, sep, quote, encoding, multi_line, options=options)
             for files in groups
         ]
         return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], DOCUMENT_SCHEMA)
+    charset = spark_encoding(encoding)
+    if charset is None:
+        raise ConfigurationError(f"CSV files are read as one of {', '.join(ENCODINGS)}")
     rows = (
         spark.read.options(**(options or {}))
         .option("enforceSchema", "false")
@@ -192,7 +222,7 @@ def read_csv_docs(
             quote=quote,
             escape=quote,
             multiLine=multi_line,
-            encoding=spark_encoding(encoding),
+            encoding=charset,
             inferSchema=False,
         )
     )
@@ -200,10 +230,10 @@ def read_csv_docs(
         F.concat(F.lit(f"{name.strip()}: "), strip(F.coalesce(F.col(named(name)), F.lit("")))) for name in rows.columns
     ]
     return rows.select(
-        F.col(FILE).alias("source"),
+        file_path().alias("source"),
         F.monotonically_increasing_id().alias("row"),
         F.concat_ws("\n", *lines).alias("text"),
-        _metadata(source=F.col(FILE)).alias("metadata"),
+        _metadata(source=file_path()).alias("metadata"),
     )
 
 
@@ -262,7 +292,7 @@ def read_json_docs(
         raise ConfigurationError("JSON Lines are read as UTF-8")
     content = spark.read.options(**(options or {})).text([paths] if isinstance(paths, str) else list(paths))
     texts = content.select(
-        F.col(FILE).alias("source"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("content")
+        file_path().alias("source"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("content")
     )
     return _json_documents(texts.where(strip(F.col("content")) != ""), path)
 
@@ -328,4 +358,4 @@ def parquet_to_docs(
 ) -> DataFrame:
     """One document per Parquet row; only the columns asked for are read. See :func:`rows_to_docs`."""
     rows = spark.read.options(**(options or {})).parquet(*([paths] if isinstance(paths, str) else paths))
-    return rows_to_docs(rows, F.col(FILE), F.col("_metadata.row_index"), content_column, metadata_columns)
+    return rows_to_docs(rows, file_path(), F.col("_metadata.row_index"), content_column, metadata_columns)

@@ -13,6 +13,7 @@ from recordloom.formats import FormatSpec
 from recordloom.operators.dedup import cap_unique
 from recordloom.operators.validate import valid_records
 from recordloom.plans.records import validated_items
+from recordloom.session import is_written, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -42,10 +43,10 @@ def unique_stream(
 ) -> DataFrame:
     """Valid records of a response stream, the first of each hash to arrive.
 
-    The state is one hash per unique record, kept in RocksDB. With an ``event_time`` column and a
+    The state is one hash per unique record; keep it in RocksDB (``spark.sql.streaming.stateStore.providerClass``
+    = :data:`ROCKSDB`) where it may outgrow memory. With an ``event_time`` column and a
     ``watermark`` delay it is kept only that long, and repeats further apart come through again.
     """
-    responses.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     if event_time is not None and watermark is not None:
         records = valid_records(validated_items(responses.withWatermark(event_time, watermark), spec, bool_as_int), spec)
         return records.dropDuplicatesWithinWatermark(["hash"])
@@ -72,32 +73,29 @@ def stream_first(
 ) -> int:
     """Append records until there are ``n``, then stop the stream; returns how many there are.
 
-    Each micro-batch is written to a folder of its own name, so a repeated micro-batch replaces itself,
-    and adds its first records in arrival order up to what is still missing.
+    Each micro-batch is written to a folder of its own name, so a repeated micro-batch replaces itself, and adds its
+    first records in arrival order up to what is still missing. How many there are is kept in one small row per
+    micro-batch beside the state of the query; only the last one is read.
     """
     spark = records.sparkSession
-    schema = records.schema
     full = threading.Event()
+    counts = f"{checkpoint}/accepted"
 
-    def written(before: int | None = None) -> int:
-        stored = _stored(spark, out, schema)
-        if stored is None:
-            return 0
-        return (stored if before is None else stored.where(stored["micro_batch"] < before)).count()
+    def accepted(before: int | None = None) -> int:
+        done = [number for number in _numbers(spark, counts) if before is None or number < before]
+        return spark.read.parquet(f"{counts}/{max(done)}").first().records if done else 0
 
     def append(batch: DataFrame, micro_batch: int) -> None:
-        missing = n - written(micro_batch)
-        if missing <= 0:
+        so_far = accepted(micro_batch)
+        if so_far >= n:
             # Run through all the same: the state behind the stream is stored with the micro-batch.
             batch.write.format("noop").mode("overwrite").save()
             full.set()
             return
-        kept = batch.persist()
-        try:
-            cap_unique(kept, missing, stored=True).write.mode("overwrite").parquet(f"{out}/micro_batch={micro_batch}")
-        finally:
-            kept.unpersist()
-        if written() >= n:
+        kept = written(batch, f"{checkpoint}/arrived/{micro_batch}")
+        added = written(cap_unique(kept, n - so_far, stored=True), f"{out}/micro_batch={micro_batch}").count()
+        written(spark.createDataFrame([(so_far + added,)], "records long"), f"{counts}/{micro_batch}")
+        if so_far + added >= n:
             full.set()
 
     writer = records.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).outputMode("append")
@@ -108,12 +106,12 @@ def stream_first(
             break
     if query.exception() is not None:
         raise GenerationError(str(query.exception()))
-    return written()
+    return accepted()
 
 
-def _stored(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame | None:
-    """What :func:`stream_first` has written so far; None before its first micro-batch."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(out)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("micro_batch", T.LongType())])).parquet(out)
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the micro-batches whose count was written to the end."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in system.listStatus(folder)] if system.exists(folder) else []
+    return [int(name) for name in names if name.isdigit() and is_written(spark, f"{path}/{name}")]

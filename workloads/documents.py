@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recordloom.formats import built_in
 from recordloom.functions.sizing import request_size
-from recordloom.functions.text import NAMED_ENTITIES, clean_whitespace, is_web_url, output_name
+from recordloom.functions.text import clean_whitespace, is_web_url, output_name
 from recordloom.operators import documents as docs
 from recordloom.operators import prompts
 from recordloom.sources.files import pages_to_docs, parquet_to_docs
@@ -25,6 +25,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 CONTEXT_CHARS = 20_000
 SHARD_DOCS = 100
 CHUNK, OVERLAP = 1000, 200
+MARKUP = (
+    "<p>caf&eacute; &Eacute; &euro;5 &frac12; &NotEqual; &thetasym; &#8212; &#x1F600; &#150; &#0; &amp;lt; &unknown; "
+    "<style>p{}</style>&nbsp;<b>"
+)
 
 
 def request_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,18 +50,16 @@ def planned_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_prompt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompts for the user turns of all conversations."""
-    queries = (
-        table(spark, sf_dir, "conversations")
-        .where("role = 'user'")
-        .select("conv_id", "turn", F.col("text").alias("query"), (F.col("turn") + 5).alias("n_requested"))
+    """Prompts for the turns of all conversations."""
+    queries = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.col("text").alias("query"), (F.col("turn") + 5).alias("n_requested")
     )
     return prompts.query_prompts(queries, built_in("pair")).select("conv_id", "turn", "human")
 
 
 def system_prompt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """System prompt sent along with each user turn."""
-    turns = table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn")
+    """System prompt sent along with each turn."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn")
     return prompts.with_system_prompt(turns, CUSTOM)
 
 
@@ -79,11 +81,11 @@ def document_prompt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refined_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns, refined by the turn that follows."""
+    """Turns, refined by the turn that follows."""
     turns = table(spark, sf_dir, "conversations")
     key = F.concat_ws("-", "conv_id", "turn").alias("key")
     before = F.concat_ws("-", "conv_id", F.col("turn") - 1).alias("key")
-    queries = turns.where("role = 'user'").select(key, F.col("text").alias("query"))
+    queries = turns.select(key, F.col("text").alias("query"))
     refinements = turns.where("turn > 0").select(
         before,
         F.when(F.col("conv_id") % 5 == 0, F.lit(" \n")).otherwise(F.concat(F.lit("\n"), "text", F.lit(" "))).alias("refined"),
@@ -120,6 +122,20 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def markup_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages made of documents, with references of all kinds and elements that are never closed."""
+    way = F.col("doc_id") % 4
+    end = (
+        F.when(way == 0, F.lit("<script>var a = '</p>';"))
+        .when(way == 1, F.lit("<STYLE type=x>p { }"))
+        .when(way == 2, F.lit("<!-- never closed <p>no</p>"))
+        .otherwise(F.lit("<script>x</script ><p>end"))
+    )
+    html = F.concat(F.lit(MARKUP), F.replace(F.col("text"), F.lit("<"), F.lit("&lt;")), F.lit("</p>"), end)
+    pages = table(spark, sf_dir, "documents").select(F.concat(F.lit("http://a.b/"), "doc_id").alias("url"), html.alias("html"))
+    return pages_to_docs(pages).select(F.col("source").alias("url"), "text")
+
+
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     chunks = docs.chunk_documents(documents, CHUNK, OVERLAP)
@@ -199,6 +215,7 @@ QUERIES: dict[str, Query] = {
     "output_names": output_names,
     "page_urls_valid": page_urls_valid,
     "page_texts": page_texts,
+    "markup_texts": markup_texts,
     "document_chunks": document_chunks,
     "document_lines": document_lines,
     "document_sentences": document_sentences,
@@ -222,14 +239,22 @@ def sql_clean(text: str) -> str:
     return f"trim(regexp_replace({text}, '[ \\n\u00a0]+', ' ', 'g'))"
 
 
+# What the references in the test pages and in MARKUP stand for.
+REFERENCES = {
+    "lt": "<", "gt": ">", "quot": '"', "nbsp": "\u00a0", "copy": "©", "middot": "·", "eacute": "é", "Eacute": "É",
+    "euro": "€", "frac12": "½", "NotEqual": "≠", "thetasym": "ϑ", "#8212": "—", "#x1F600": "😀", "#150": "–", "#0": "\ufffd",
+}
+
+
 def sql_decoded(text: str) -> str:
-    for name, char in NAMED_ENTITIES.items():
-        if name != "amp":
-            text = f"replace({text}, '&{name};', '{char.replace(chr(39), chr(39) * 2)}')"
+    for name, char in REFERENCES.items():
+        text = f"replace({text}, '&{name};', '{char}')"
     return f"replace({text}, '&amp;', '&')"
 
 
-SQL_MARKUP = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->|/?[a-zA-Z!?][^>]*>)"
+SQL_MARKUP = (
+    r"(?is)<script\b.*?</script\s*>|<script\b.*$|<style\b.*?</style\s*>|<style\b.*$|<!--.*?-->|<!--.*$|</?[a-zA-Z!?][^>]*>"
+)
 
 
 def sql_page_text(html: str) -> str:
@@ -247,9 +272,10 @@ def sql_request_size(remaining: str, batch: str) -> str:
     )
 
 
-PACKED = f"""packed AS (
+def sql_packed(between: int) -> str:
+    return f"""packed AS (
   SELECT doc_id, text, doc_id // {SHARD_DOCS} AS shard,
-    CAST(coalesce(sum(length(text)) OVER (PARTITION BY doc_id // {SHARD_DOCS} ORDER BY doc_id
+    CAST(coalesce(sum(length(text) + {between}) OVER (PARTITION BY doc_id // {SHARD_DOCS} ORDER BY doc_id
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // {CONTEXT_CHARS} AS context
   FROM documents
 )"""
@@ -264,11 +290,11 @@ Rules:
 - Make every record different from the others.
 - Be concrete, consistent and true to the request.
 
-**Field Definitions:**
-- `id` (integer, (Required)): Number of the note (e.g., `1`)
-- `text` (string, (Required)): The note
-- `score` (float, (Optional)): How good it is
-- `verified` (boolean, (Optional)): Whether it was checked (e.g., `false`)
+Fields (name | type | required | meaning | example):
+id | integer | yes | Number of the note | 1
+text | string | yes | The note
+score | float | no | How good it is
+verified | boolean | no | Whether it was checked | false
 """
 
 PAIR_EXAMPLE = '[{"anchor": "...", "positive": "..."}]'
@@ -288,13 +314,13 @@ FROM ahead WHERE missing > 0""",
     "query_prompt_rows": f"""SELECT conv_id, turn,
   'Write ' || (turn + 5) || ' different records for this request.' || chr(10) || chr(10) || 'Request: "' || text || '"'
   || chr(10) || chr(10) || 'Format: pair' || chr(10) || 'Structure: {PAIR_EXAMPLE}' || chr(10) AS human
-FROM conversations WHERE role = 'user'""",
+FROM conversations""",
     "system_prompt_rows": f"""SELECT conv_id, turn, {sql_text(NOTE_PROMPT)} AS system
-FROM conversations WHERE role = 'user'""",
+FROM conversations""",
     "example_json": """SELECT item_id, '[{"id":1,"text":"sample text","score":1.23,"verified":false}]' AS example
 FROM benchmark""",
-    "packed_contexts": f"WITH {PACKED} SELECT doc_id, shard, context FROM packed",
-    "document_prompt_rows": f"""WITH {PACKED}
+    "packed_contexts": f"WITH {sql_packed(0)} SELECT doc_id, shard, context FROM packed",
+    "document_prompt_rows": f"""WITH {sql_packed(7)}
 SELECT shard, context, count(*) AS n_documents, md5(
   'Write 7 different records that use only what these documents say.' || chr(10) || chr(10) || '--- DOCUMENTS ---'
   || chr(10) || string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY doc_id) || chr(10)
@@ -304,8 +330,7 @@ FROM packed GROUP BY shard, context""",
     "refined_queries": """SELECT q.conv_id || '-' || q.turn AS key,
   CASE WHEN r.text IS NULL OR q.conv_id % 5 = 0 OR q.conv_id % 7 = 0 OR lower(trim(r.text)) = lower(trim(q.text))
        THEN q.text ELSE trim(r.text) END AS query
-FROM conversations q LEFT JOIN conversations r ON r.conv_id = q.conv_id AND r.turn = q.turn + 1
-WHERE q.role = 'user'""",
+FROM conversations q LEFT JOIN conversations r ON r.conv_id = q.conv_id AND r.turn = q.turn + 1""",
     "output_names": """SELECT p_partkey, 'out/data_' || regexp_replace(p_name || '/é#' || p_brand, '[^\\p{L}\\p{N}_-]', '_', 'g')
   || CASE WHEN p_size % 2 = 0 THEN '_from_docs' ELSE '_from_query' END AS base_name
 FROM part""",
@@ -315,6 +340,10 @@ FROM part""",
 FROM pages""",
     "page_texts": f"""SELECT url, {sql_page_text('html')} AS text, {sql_page_title('html')} AS title
 FROM pages WHERE regexp_matches(url, '^https?://[^/?#]+')""",
+    "markup_texts": f"""SELECT 'http://a.b/' || doc_id AS url, {sql_page_text('html')} AS text FROM (
+  SELECT doc_id, {sql_text(MARKUP)} || replace(text, '<', '&lt;') || '</p>' || CASE doc_id % 4 WHEN 0 THEN '<script>var a = ''</p>'';'
+    WHEN 1 THEN '<STYLE type=x>p {{ }}' WHEN 2 THEN '<!-- never closed <p>no</p>' ELSE '<script>x</script ><p>end' END AS html
+  FROM documents)""",
     "document_chunks": f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY start) - 1 AS chunk, text FROM (
   SELECT doc_id, start, substring(text, start + 1, {CHUNK}) AS text
   FROM (SELECT doc_id, text, unnest(generate_series(0, greatest(0, length(text) - {OVERLAP} - 1), {CHUNK - OVERLAP})) AS start
