@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def per_worker(key: Hashable, make: Callable):
+    """An object that a worker process keeps from task to task; of different keys only the last is kept.
+
+    It lives in a module of its own, as functions sent by value bring new globals with each task.
+    """
+    state = vars(sys.modules.setdefault("recordloom_worker", types.ModuleType("recordloom_worker")))
+    if state.get("key") != key:
+        state["key"], state["kept"] = key, make()
+    return state["kept"]
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts one after the other, and where each begins (and the last ends); null is empty."""
     if isinstance(column, pa.ChunkedArray):

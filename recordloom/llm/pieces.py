@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordloom.llm.arrays import U64, mix, ragged, steps, utf8, without
+from recordloom.llm.arrays import U64, mix, per_worker, ragged, steps, utf8, without
 from recordloom.llm.chunks import Remembered
 
 _BASE = 0x9E3779B97F4A7C15
@@ -204,9 +204,10 @@ def encode(
     docs = without(docs, [ids_column])
     names = docs.columns if keep is None else [c for c in docs.columns if c in keep]
     model = docs.sparkSession.sparkContext.broadcast(pieces)
+    name = hash((pieces.keys.tobytes(), pieces.ids.tobytes(), pieces.scores.tobytes()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model.value)
+        encoder = per_worker(("pieces", name), lambda: Encoder(model.value))
         for batch in steps(batches, text_column):
             text = batch.column(text_column)
             ids, ends = encoder.encode(text)

@@ -160,7 +160,10 @@ def _parse(page: str, not_furniture: set[int]) -> list[Node]:
 
 
 def text_nodes(page: str) -> list[Node]:
-    """Text nodes outside furniture. An element that holds most of the page's text is none, whatever its name."""
+    """Text nodes outside furniture.
+
+    On a page without an article, an element that holds most of the text is no furniture, whatever its name.
+    """
     believed: set[int] = set()
     while True:
         nodes = _parse(page, believed)
@@ -168,7 +171,7 @@ def text_nodes(page: str) -> list[Node]:
         for n in nodes:
             held[n.named] += len(n.text.strip())
         large = {e for e, size in held.items() if e and size > MOSTLY * sum(held.values())}
-        if not large:
+        if not large or any(t in ("article", "main") for n in nodes if not n.named and n.text.strip() for t in n.path.split("/")):
             return [n for n in nodes if not n.named]
         believed |= large
 

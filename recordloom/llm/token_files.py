@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordloom.llm.arrays import U64, ragged, row_key, steps, utf8
+from recordloom.llm.arrays import U64, per_worker, ragged, row_key, steps, utf8
 from recordloom.llm.chunks import Remembered
 from recordloom.session import new_work_dir
 
@@ -165,7 +165,7 @@ def _tokenise(docs: DataFrame, definition: str, end_id: int, id_column: str, tex
     ordered = read.repartitionByRange("id", "key").sortWithinPartitions("id", "key").withColumn("part", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, row = Tokens(known.value), 0
+        tokens, row = per_worker(("tokens", known.value), lambda: Tokens(known.value)), 0
         for batch in steps(batches, "text"):
             ids, size = tokens.encode(batch.column("text"))
             full = np.full(len(ids) + len(size), end_id, np.uint32)
