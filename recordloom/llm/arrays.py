@@ -75,8 +75,8 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def steps(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds at most STEP_BYTES of text, or one row."""
+def steps(batches: Iterable[pa.RecordBatch], text: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds at most ``most`` bytes of text, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -84,7 +84,7 @@ def steps(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBat
         start = 0
         while start < batch.num_rows:
             before = size[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(size, before + STEP_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(size, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 

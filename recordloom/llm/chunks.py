@@ -17,7 +17,7 @@ Learn = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 class Remembered:
     """Ids of stretches of bytes, found by two 64-bit numbers; ``learn`` gives the ids of new ones and their count."""
 
-    def __init__(self, learn: Learn, limit: int = 1 << 20):
+    def __init__(self, learn: Learn, limit: int):
         self.learn, self.limit = learn, limit
         self._forget()
 

@@ -34,6 +34,8 @@ _SPACE, _ESCAPED = "▁", 0x110000  # no character has the second number
 UNKNOWN_PENALTY = 10.0
 #: Cells (characters of words) searched together.
 CELLS = 1 << 17
+#: Bytes of text encoded together, and words remembered: two of these run beside two decoders in an executor.
+STEP, REMEMBERED = 1 << 20, 1 << 19
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +162,7 @@ class Encoder:
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.known = Remembered(self._learn)
+        self.known = Remembered(self._learn, REMEMBERED)
 
     def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [w.decode() for w in words]
@@ -208,7 +210,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(("pieces", name), lambda: Encoder(model.value))
-        for batch in steps(batches, text_column):
+        for batch in steps(batches, text_column, STEP):
             text = batch.column(text_column)
             ids, ends = encoder.encode(text)
             missing = text.is_null()

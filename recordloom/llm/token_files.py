@@ -37,6 +37,11 @@ from recordloom.session import new_work_dir
 
 MAX_BITS = 18
 BLOCK, EVERY = 1 << 16, 256
+#: Stretches a worker remembers.
+REMEMBERED = 3 << 19
+# Bytes that white space other than spaces and line ends begins with (or is): only texts with them are searched.
+_MAYBE_SPACE = np.zeros(256, bool)
+_MAYBE_SPACE[[9, 11, 12, 13, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 _ODD_SPACE = re.compile(r"[^\S \n]")
 _SIMPLE = re.compile(r" ?[^\s]+")
 
@@ -51,7 +56,7 @@ class Tokens:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.known = Remembered(self._learn)
+        self.known = Remembered(self._learn, REMEMBERED)
 
     def _learn(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [s.decode() for s in stretches]
@@ -76,8 +81,8 @@ class Tokens:
         blank = (raw == 32) | (raw == 10)
         begin = np.zeros(len(raw), bool)
         begin[1:] = blank[1:] & ~blank[:-1]
-        whole = [i for i, text in enumerate(column.to_pylist()) if text and _ODD_SPACE.search(text)]
-        for i in whole:
+        maybe = np.unique(np.searchsorted(offsets, np.flatnonzero(_MAYBE_SPACE[raw]), side="right") - 1)
+        for i in (i for i in maybe.tolist() if _ODD_SPACE.search(column[i].as_py())):
             begin[offsets[i] : offsets[i + 1]] = False
         begin[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
         starts = np.flatnonzero(begin)
@@ -158,11 +163,27 @@ class Code:
         return out.ravel()[:count]
 
 
+def _ranged(read: DataFrame) -> DataFrame:
+    """Rows by ascending ranges of ids, about as many rows each, in as many partitions as a shuffle has.
+
+    The bounds of whole numbers are found from the ids alone; Spark's own ranges would read the texts twice.
+    """
+    parts = int(read.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not isinstance(read.schema["id"].dataType, T.IntegralType) or parts < 2:
+        return read.repartitionByRange("id", "key")
+    shares = [i / parts for i in range(1, parts)]
+    bounds = read.agg(F.percentile_approx("id", shares, 10_000).alias("bounds")).first().bounds
+    listed = F.array(*[F.lit(b).cast("long") for b in sorted(set(bounds or []))]).cast("array<long>")
+    # null ids, which come first, and then ids up to each bound
+    part = F.when(F.col("id").isNull(), 0).otherwise(F.size(F.filter(listed, lambda bound: bound < F.col("id"))))
+    return read.repartitionById(parts, part)
+
+
 def _tokenise(docs: DataFrame, definition: str, end_id: int, id_column: str, text_column: str) -> DataFrame:
     """part, row (ascending by id within the part), id, ids (little-endian 32-bit), in the order of the ids."""
     known = docs.sparkSession.sparkContext.broadcast(definition)
     read = docs.select(F.col(f"`{id_column}`").alias("id"), row_key(id_column, text_column).alias("key"), F.col(f"`{text_column}`").alias("text"))
-    ordered = read.repartitionByRange("id", "key").sortWithinPartitions("id", "key").withColumn("part", F.spark_partition_id())
+    ordered = _ranged(read).sortWithinPartitions("id", "key").withColumn("part", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, row = per_worker(("tokens", known.value), lambda: Tokens(known.value)), 0
