@@ -34,8 +34,8 @@ _SPACE, _ESCAPED = "▁", 0x110000  # no character has the second number
 UNKNOWN_PENALTY = 10.0
 #: Cells (characters of words) searched together.
 CELLS = 1 << 17
-#: Bytes of text encoded together, and words remembered: two of these run beside two decoders in an executor.
-STEP, REMEMBERED = 1 << 20, 1 << 19
+#: Bytes of text encoded together, and words remembered by a worker.
+STEP, REMEMBERED = 2 << 20, 1 << 20
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:

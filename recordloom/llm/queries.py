@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm import decontaminate, importance, line_dedup, minhash, neighbours, pieces, shards, tag_paths, token_files, url_trust
+from recordloom.session import new_work_dir, written
 
 PIECES = "piece_bpe_32k.model"
 BYTES, END = "byte_bpe_50k.json", 2
@@ -65,13 +66,14 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether they decode to its text."""
     model = pieces.Pieces.load(public_tokenizers.path(PIECES))
-    ids = pieces.encode(_read(spark, sf_dir, "documents"), model, keep=["doc_id", "text"])
-    back = pieces.decode(ids, model)
-    return back.select(
+    docs = _read(spark, sf_dir, "documents").withColumn("seen", F.xxhash64("text"))
+    # written in between: encoders and decoders side by side would share an executor's memory
+    ids = written(pieces.encode(docs, model, keep=["doc_id", "seen"]), new_work_dir(spark, "ids"))
+    return pieces.decode(ids, model).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
-        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+        (F.xxhash64("decoded") == F.col("seen")).alias("round_trip"),
     )
 
 
