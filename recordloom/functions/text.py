@@ -78,7 +78,7 @@ def decode_entities(text: str) -> str:
     """
     names = ", ".join(f"{quoted(name)}, {quoted(char)}" for name, char in NAMED_ENTITIES.items())
     number = "cast(if(lower(substring(r, 2, 1)) = 'x', conv(substring(r, 3), 16, 10), substring(r, 2)) as bigint)"
-    valid = f"{number} < 55296 OR {number} BETWEEN 57344 AND 1114111"
+    valid = f"{number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111"
     numbers = ", ".join(f"{number}L, {quoted(char)}" for number, char in NUMBERS.items())
     character = f"decode(unhex(lpad(hex(if({valid}, {number}, 65533L)), 8, '0')), 'UTF-32')"
     char = (

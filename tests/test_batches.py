@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.formats import built_in
-from recordloom.operators import batches, dedup
+from recordloom.operators import batches, dedup, running
 from recordloom.operators.running import with_run_length, with_totals_before
 
 
@@ -53,13 +53,11 @@ def test_dedup_and_cap_per_group(spark, gaps):
 
 
 @pytest.mark.parametrize("n", [0, 1, 17, 40, 10_000])
-def test_small_and_large_cap_agree(spark, monkeypatch, n):
+def test_cap_of_any_size(spark, n):
     rows = [("a", *r[1:]) for r in random_records(random.Random(3)) if r[0] == "a"]
     firsts = dedup.dedup_first(records(spark, rows))
     expected = sorted(first_rows(rows, grouped=False)[:n])
     assert as_rows(dedup.cap_unique(firsts, n)) == expected
-    monkeypatch.setattr(dedup, "SMALL_CAP", -1)
-    assert as_rows(dedup.cap_unique(firsts, n)) == expected
 
 
 def test_hot_hash_is_reduced_before_the_shuffle(spark):
@@ -161,3 +159,18 @@ def test_preview(spark):
     frame = spark.createDataFrame([(1, 0, "é", "b"), (0, 1, "c", "d")], "batch_id bigint, pos int, anchor string, positive string")
     got = [r.preview for r in dedup.preview(frame, built_in("pair"), rows=2).orderBy("batch_id").collect()]
     assert got == ['{\n  "anchor": "c",\n  "positive": "d"\n}', '{\n  "anchor": "é",\n  "positive": "b"\n}']
+
+
+def test_totals_of_sparse_keys(spark, monkeypatch):
+    monkeypatch.setattr(running, "RANGES", 8)
+    rng = random.Random(4)
+    rows = [("a" if i % 3 else "b", rng.randrange(-(2**62), 2**62), i % 5) for i in range(400)] + [("c", None, 1)]
+    frame = spark.createDataFrame(rows, "g string, b bigint, n int")
+    totals = with_totals_before(frame, "b", {"before": F.col("n")}, ["g"], 10)
+    blocks = running._in_blocks(frame, "b", 10).groupBy("__block").count().collect()
+    assert len(blocks) == 8 and max(r["count"] for r in blocks) < 100
+    expected, seen = [], {"a": 0, "b": 0}
+    for g, b, n in sorted((r for r in rows if r[1] is not None), key=lambda r: r[1]):
+        expected.append((g, b, seen[g]))
+        seen[g] += n
+    assert sorted((r.g, r.b, r.before) for r in totals.collect()) == sorted(expected)

@@ -252,3 +252,34 @@ def test_bad_lines_and_conversion(spark, tmp_path):
     assert convert_jsonl(spark, path, ROW, f"{tmp_path}/out", ["csv"], expected=2).head().matches
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_jsonl(spark, f"{tmp_path}/none.jsonl", ROW)
+
+
+def test_tables_with_different_columns(spark, tmp_path):
+    spark.createDataFrame([(1,)], "a int").coalesce(1).write.parquet(f"{tmp_path}/x/one.parquet")
+    spark.createDataFrame([("s",)], "a string").coalesce(1).write.parquet(f"{tmp_path}/x/two.parquet")
+    spark.createDataFrame([(2, 3)], "b int, c int").coalesce(1).write.parquet(f"{tmp_path}/x/three.parquet")
+    files = [next(iter((tmp_path / "x" / n).glob("part-*.parquet"))) for n in ("one.parquet", "two.parquet", "three.parquet")]
+    half = tmp_path / "half cut.parquet"
+    half.write_bytes(files[0].read_bytes()[:-30])
+    sources = [str(f) for f in files] + [str(half)]
+    documents, errors = read_many(spark, sources)
+    assert sorted((r.source_pos, r.text) for r in documents.collect()) == [(0, '{"a":1}'), (1, '{"a":"s"}'), (2, '{"b":2,"c":3}')]
+    assert [(r.source_pos, r.source) for r in errors.collect()] == [(3, f"file://{half}")]
+    documents, quarantine = read_documents(spark, str(tmp_path), recursive=True)
+    assert documents.count() == 3
+    assert "half cut.parquet" in {r.source.rsplit("/", 1)[-1] for r in quarantine.collect()}
+
+
+def test_names_are_spelled_as_they_are(spark, tmp_path):
+    (tmp_path / "my note+1 %é.txt").write_text("n")
+    (tmp_path / "other.log").write_text("o")
+    documents, quarantine = read_documents(spark, str(tmp_path), glob="my note*")
+    assert [r.source for r in documents.collect()] == [f"file://{tmp_path}/my note+1 %é.txt"]
+    documents, quarantine = read_documents(spark, str(tmp_path))
+    assert [r.source for r in quarantine.collect()] == [f"file://{tmp_path}/other.log"]
+
+
+def test_encodings_only_python_has(spark, tmp_path):
+    for name, text in (("cp1252", "naïve €"), ("gb18030", "漢字"), ("shift_jis", "テキスト"), ("utf-8-sig", "bom")):
+        (tmp_path / f"{name}.txt").write_bytes(text.encode(name))
+        assert [r.text for r in read_text_docs(spark, f"{tmp_path}/{name}.txt", name).collect()] == [text]

@@ -292,8 +292,8 @@ Rules:
 
 Fields (name | type | required | meaning | example):
 id | integer | yes | Number of the note | 1
-text | string | yes | The note
-score | float | no | How good it is
+text | string | yes | The note |
+score | float | no | How good it is |
 verified | boolean | no | Whether it was checked | false
 """
 
