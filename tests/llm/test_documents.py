@@ -230,6 +230,20 @@ def test_bands_of_many_nodes(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in minhash.classes(frame).collect()} == similar_classes(spark, docs)
 
 
+@pytest.mark.parametrize("kept", [256, 64])
+def test_copies_unlike_each_other(spark, monkeypatch, kept):
+    monkeypatch.setattr(minhash, "PART", 20)
+    monkeypatch.setattr(minhash, "KEPT", kept)
+    base, docs = prose(5, 150), []
+    for c in range(90):  # from 0 to 5 words changed: most pairs of copies are below 0.8
+        words = list(base)
+        for k in range(c % 6):
+            words[(37 * c + 29 * k) % 150] = f"edit{c}k{k}"
+        docs.append((c, " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.class_id for r in minhash.classes(frame).collect()} == similar_classes(spark, docs)
+
+
 def test_samples_agree_as_often_as_bags(spark):
     rng = np.random.default_rng(3)
     sampler = minhash.Sampler()
