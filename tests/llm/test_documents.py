@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -152,6 +153,59 @@ def test_repeated_passages(spark):
     assert sum(bool(s) for _, s in got.values()) == 40  # all but the first of the passage, and the self-repeating one
 
 
+def expected_passages(docs, width):
+    """The words that stay if those go that are in a repeated sentence or run of words, in stretches of ``width`` or more."""
+    seen, out = set(), {}
+    for doc, text in docs:
+        words = lowered(text)
+        gone, at = [False] * len(words), 0
+        for a, b in units_of(text):
+            unit = tuple(lowered(text[a:b]))
+            if unit in seen:
+                gone[at : at + len(unit)] = [True] * len(unit)
+            seen.add(unit)
+            at += len(unit)
+        for i in range(len(words) - width + 1):
+            run = ("run", *words[i : i + width])
+            if run in seen:
+                gone[i : i + width] = [True] * width
+            seen.add(run)
+        for go, some in itertools.groupby(range(len(words)), gone.__getitem__):
+            some = list(some)
+            if go and len(some) < width:
+                gone[some[0] : some[-1] + 1] = [False] * len(some)
+        out[doc] = [w for w, g in zip(words, gone, strict=True) if not g]
+    return out
+
+
+def test_passages_that_are_no_units(spark):
+    p = prose(700, 55)
+    mid = " ".join(p[:20]) + ". " + " ".join(p[20:38]) + ". " + " ".join(p[38:])  # 20 + 18 + 17 words
+    flat = " ".join(prose(701, 80))
+    changed = prose(702, 61)
+    docs = []
+    for i in range(12):
+        own = prose(710 + i, 60)
+        edited = [*changed[:30], f"edit{i}", *changed[31:]]
+        part = [mid, flat, " ".join(edited), " ".join(p[i : i + 25]), " ".join(p[i : i + 24])][i % 5]
+        docs.append((i, " ".join(own[:30]) + " " + part + " (" + " ".join(own[30:]) + ") x."))
+    docs.append((50, " ".join(prose(703, 30) * 3)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in remove_repeats(frame).collect()}
+    assert {d: lowered(t) for d, t in got.items()} == expected_passages(docs, 25)
+    own = prose(715, 60)  # the second with the passage of 55 words
+    assert got[5] == " ".join(own[:30]) + " (" + " ".join(own[30:]) + ") x."
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 8])
+def test_runs_of_all_widths(spark, width):
+    rng = np.random.default_rng(width)
+    docs = [(i, " ".join(f"v{x}" for x in rng.integers(0, 12, rng.integers(0, 40))) + ".") for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: lowered(r.text) for r in remove_repeats(frame, min_words=width, passage_words=width).collect()}
+    assert got == expected_passages(docs, width)
+
+
 def test_repeats_in_odd_rows(odd):
     out = remove_repeats(odd, min_words=1)
     assert out.count() == odd.count() and out.columns == [*odd.columns, "removed"]
