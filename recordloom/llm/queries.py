@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import decontaminate, importance, line_dedup, minhash, neighbours, pieces, shards, tag_paths, token_files, url_trust
+from recordloom.llm import decontaminate, importance, line_dedup, minhash, neighbours, pieces, shards, tag_paths, token_files, url_trust, vector_codes
 from recordloom.session import new_work_dir, written
 
 PIECES = "piece_bpe_32k.model"
 BYTES, END = "byte_bpe_50k.json", 2
 SHARDS = 8
+PARTS, ENTRIES, ROUNDS = 16, 64, 2
 RULES = [
     url_trust.Rule("allow", "com"),
     url_trust.Rule("block", "example.com", "/en/"),
@@ -94,6 +95,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(docs, labels, score_column="log_weight").select("doc_id", "log_weight")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code, its error, and the error of its label."""
+    return vector_codes.compress(_read(spark, sf_dir, "embeddings"), parts=PARTS, entries=ENTRIES, rounds=ROUNDS)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -107,6 +113,7 @@ QUERIES = {
         op8_url_filter,
         op9_html_text,
         op10_quality,
+        op12_vector_codes,
     )
 }
 
@@ -114,7 +121,55 @@ _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
+
+
+def _assign(books: str) -> str:
+    """For each part of a vector the nearest entry: vec_id, label, part, x, entry, d."""
+    return f"""
+        SELECT vec_id, label, part, x, arg_min(entry, [d, entry]) AS entry, min(d) AS d FROM (
+            SELECT p.vec_id, p.label, p.part, p.x, b.entry,
+                list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS d
+            FROM cut p JOIN {books} b USING (part)
+        ) GROUP BY ALL
+    """
+
+
+def _move(books: str, assigned: str) -> str:
+    """The entries after a round: part, entry, c."""
+    return f"""
+        SELECT b.part, b.entry, coalesce(m.c, b.c) AS c FROM {books} b LEFT JOIN (
+            SELECT part, entry, list((total - ((total % n) + n) % n) // n ORDER BY i) AS c FROM (
+                SELECT part, entry, i, CAST(sum(x[i]) AS BIGINT) AS total, count(*) AS n
+                FROM (SELECT part, entry, x, unnest(range(1, len(x) + 1)) AS i FROM {assigned}) GROUP BY ALL
+            ) GROUP BY ALL
+        ) m USING (part, entry)
+    """
+
+
 ORACLES = {
+    "op12_vector_codes": f"""
+        WITH kept AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        cut AS (
+            SELECT vec_id, label, part, e[part * (len(e) // {PARTS}) + 1 : (part + 1) * (len(e) // {PARTS})] AS x
+            FROM (SELECT *, unnest(range({PARTS})) AS part FROM kept)
+        ),
+        chosen AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {ENTRIES})),
+        books0 AS (SELECT part, entry, x AS c FROM cut JOIN chosen USING (vec_id)),
+        assigned0 AS MATERIALIZED ({_assign("books0")}),
+        books1 AS MATERIALIZED ({_move("books0", "assigned0")}),
+        assigned1 AS MATERIALIZED ({_assign("books1")}),
+        books2 AS MATERIALIZED ({_move("books1", "assigned1")}),
+        coded AS (
+            SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+            FROM ({_assign("books2")}) GROUP BY vec_id, label
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+            (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM books2) AS codebooks_sha256
+        FROM coded
+    """,
     "op6_decontamination": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
         b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark),
@@ -147,4 +202,4 @@ ORACLES = {
         ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT * FROM ranked WHERE rank <= 5
     """,
-}
+}
\ No newline at end of file
