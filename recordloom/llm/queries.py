@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import decontaminate, importance, line_dedup, minhash, neighbours, pieces, shards, tag_paths, token_files, url_trust, vector_codes
+from recordloom.llm import decontaminate, importance, line_dedup, minhash, neighbours, pieces, shards, simhash, tag_paths, token_files, url_trust, vector_codes
 from recordloom.session import new_work_dir, written
 
 PIECES = "piece_bpe_32k.model"
@@ -95,6 +95,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(docs, labels, score_column="log_weight").select("doc_id", "log_weight")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and its component of fingerprints within four bits."""
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"), width=4, radius=4)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's code, its error, and the error of its label."""
     return vector_codes.compress(_read(spark, sf_dir, "embeddings"), parts=PARTS, entries=ENTRIES, rounds=ROUNDS)
@@ -113,6 +118,7 @@ QUERIES = {
         op8_url_filter,
         op9_html_text,
         op10_quality,
+        op11_simhash,
         op12_vector_codes,
     )
 }
