@@ -49,18 +49,24 @@ _SIMPLE = re.compile(r" ?[^\s]+")
 class Tokens:
     """A byte-level tokenizer of the tokenizers library over many texts."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, special_as_text: bool = False, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # texts that hold one of them are left to the library as a whole
+        self.whole = [t.content.encode() for t in added if not (special_as_text and t.special)]
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.known = Remembered(self._learn, REMEMBERED)
+        self.known = Remembered(self._learn, remembered)
 
     def _learn(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [s.decode() for s in stretches]
         simple = np.array([bool(_SIMPLE.fullmatch(t)) for t in texts]) & (len(self.line_end) == 1)
+        for i, s in enumerate(stretches):
+            if any(w in s for w in self.whole):
+                simple[i] = False
         size = np.zeros(len(texts), np.int64)
         parts: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
         for i in np.flatnonzero(~simple):
@@ -84,6 +90,13 @@ class Tokens:
         maybe = np.unique(np.searchsorted(offsets, np.flatnonzero(_MAYBE_SPACE[raw]), side="right") - 1)
         for i in (i for i in maybe.tolist() if _ODD_SPACE.search(column[i].as_py())):
             begin[offsets[i] : offsets[i + 1]] = False
+        data = raw.tobytes() if self.whole else b""
+        for content in self.whole:
+            at = data.find(content)
+            while at >= 0:
+                i = int(np.searchsorted(offsets, at, side="right")) - 1
+                begin[offsets[i] : offsets[i + 1]] = False
+                at = data.find(content, int(offsets[i + 1]))
         begin[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
         starts = np.flatnonzero(begin)
         ids, size = self.known.encode(raw, starts, np.append(starts[1:], len(raw)))

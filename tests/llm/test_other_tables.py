@@ -24,6 +24,8 @@ TEXTS = [
     "tab\tand\r\nreturn\x1c odd\u00a0space\u2003x",
     "日本語 テキスト 😀😀 naïve café don't we'll I'M",
     "<|endoftext|> </s> \u2581 under",
+    "a <|endoftext|> b<|endoftext|>\n c <|endoftext|",
+    "word<|endoftext|>word",
     "word " * 3000,
     "x" * 5000,
     "1234567 $$$ ### %%% a1b2",
@@ -35,9 +37,7 @@ TEXTS = [
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path(BYTES))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(BYTES))
 
 
 def test_tokens_equal_the_library(tokenizer):
