@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import decontaminate, importance, line_dedup, minhash, neighbours, pieces, shards, simhash, tag_paths, token_files, url_trust, vector_codes
+from recordloom.llm import alignment, decontaminate, importance, line_dedup, minhash, neighbours, pieces, shards, simhash, tag_paths, token_files, url_trust, vector_codes
 from recordloom.session import new_work_dir, written
 
 PIECES = "piece_bpe_32k.model"
@@ -105,6 +105,13 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(_read(spark, sf_dir, "embeddings"), parts=PARTS, entries=ENTRIES, rounds=ROUNDS)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's groups of the tokens of two tokenizers, and how usual its links are."""
+    digest = {"groups_sha256": F.when(F.col("groups") != "", F.sha2("groups", 256)).otherwise("")}
+    files = (public_tokenizers.path(name) for name in (BYTES, PIECES))
+    return alignment.align(_read(spark, sf_dir, "documents"), *files, result=digest)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -120,6 +127,7 @@ QUERIES = {
         op10_quality,
         op11_simhash,
         op12_vector_codes,
+        op13_alignment,
     )
 }
 
