@@ -39,6 +39,8 @@ MAX_BITS = 18
 BLOCK, EVERY = 1 << 16, 256
 #: Stretches a worker remembers.
 REMEMBERED = 3 << 19
+#: New stretches the library gets as one text.
+GROUP = 256
 # Bytes that white space other than spaces and line ends begins with (or is): only texts with them are searched.
 _MAYBE_SPACE = np.zeros(256, bool)
 _MAYBE_SPACE[[9, 11, 12, 13, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -64,17 +66,19 @@ class Tokens:
     def _learn(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [s.decode() for s in stretches]
         simple = np.array([bool(_SIMPLE.fullmatch(t)) for t in texts]) & (len(self.line_end) == 1)
-        for i, s in enumerate(stretches):
-            if any(w in s for w in self.whole):
-                simple[i] = False
+        for w in self.whole:
+            if any(w in s for s in stretches):
+                simple &= np.array([w not in s for s in stretches])
         size = np.zeros(len(texts), np.int64)
         parts: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
         for i in np.flatnonzero(~simple):
             parts[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32)
         some = np.flatnonzero(simple)
-        for i in range(0, len(some), 4096):  # a line end parts them and has an id of its own
-            group = some[i : i + 4096]
-            ids = np.array(self.tokenizer.encode("\n".join([texts[j] for j in group]), add_special_tokens=False).ids, np.int32)
+        # a line end parts them and has an id of its own
+        groups = [some[i : i + GROUP] for i in range(0, len(some), GROUP)]
+        joined = ["\n".join([texts[j] for j in g]) for g in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, np.int32)
             ends = np.append(np.flatnonzero(ids == self.line_end[0]), len(ids))
             for j, a, b in zip(group.tolist(), np.append(0, ends[:-1] + 1).tolist(), ends.tolist(), strict=True):
                 parts[j] = ids[a:b]
