@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text that one step looks at; bounds the memory of a task whatever the batch holds.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
