@@ -32,6 +32,7 @@ from recordloom.functions.text import (
 )
 from recordloom.operators.once import computed_once
 from recordloom.session import prepare
+from recordloom.sources.cutting import CsvRows, JsonElements, pieces_of, records
 
 # The decoding of other encodings goes to the executors as it is.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -192,6 +193,7 @@ def read_csv_docs(
     encoding: str = "utf-8",
     multi_line: bool = True,
     mixed_headers: bool = False,
+    split: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """One document per row: ``column: value`` lines.
@@ -200,8 +202,15 @@ def read_csv_docs(
     looks up the header of every file first, which reads the files as text, and then reads those with the
     same header together. ``multi_line`` allows line breaks in quoted values but keeps a file in one
     task; turn it off for large files without them.
+
+    ``split`` reads large files in many tasks, line breaks in values or not (see :mod:`recordloom.sources.cutting`), and
+    gives the same rows; every file has its own header, and ``row`` counts from 0 in each file. UTF-8 only.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if split:
+        if spark_encoding(encoding) not in ("UTF-8", "US-ASCII"):
+            raise ConfigurationError("CSV files are read in splits as UTF-8")
+        return _split_csv_docs(spark, paths, sep, quote, options)
     if mixed_headers:
         groups = _files_by_header(spark, paths, options)
         frames = [
@@ -237,6 +246,37 @@ def read_csv_docs(
     )
 
 
+#: Headers that are sent to every task; beyond that number rows are joined with them by a shuffle.
+BROADCAST_HEADERS = 10_000
+
+
+def _split_csv_docs(spark: SparkSession, paths: Sequence[str], sep: str, quote: str, options: dict[str, str] | None) -> DataFrame:
+    """Rows of CSV files that are read in splits; no name of a file or column comes to the driver."""
+    found, splits = records(pieces_of(spark, paths, CsvRows(sep, quote), file_path(), options), CsvRows(sep, quote))
+    if splits.where("block = 0 AND names IS NULL AND ends_open").limit(1).count():
+        raise LoaderError("a header with line breaks is longer than a split (spark.sql.files.maxPartitionBytes)")
+    headers = splits.where("names IS NOT NULL").select("head", "names", "crlf").dropDuplicates(["head"])
+    size = headers.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("names")).alias("width")).first()
+    if not size.n:
+        return spark.createDataFrame([], DOCUMENT_SCHEMA)
+    rows = found.where("number > 0").join(F.broadcast(headers) if size.n <= BROADCAST_HEADERS else headers, "head")
+    line = F.when(F.endswith("text", F.lit("\r")), F.expr("substring(text, 1, length(text) - 1)")).otherwise(F.col("text"))
+    line = F.when(F.col("crlf"), F.replace(line, F.lit("\r\n"), F.lit("\n"))).otherwise(line)
+    columns = ", ".join(f"c{i} string" for i in range(size.width))
+    # the same reading of quotes, blanks and surplus values as of whole files
+    parsed = F.from_csv(line, columns, {"sep": sep, "quote": quote, "escape": quote, "multiLine": "true", "maxColumns": str(max(20480, size.width + 1))})
+    rows = computed_once(rows.withColumn("values", parsed), ["values"])
+    values = F.array(*[F.col(f"values.c{i}") for i in range(size.width)])
+    rows = rows.select("file", "number", "names", values.alias("values"))
+    lines = F.transform("names", lambda name, i: F.concat(strip(name), F.lit(": "), strip(F.coalesce(F.get("values", i), F.lit("")))))
+    return rows.select(
+        F.col("file").alias("source"),
+        (F.col("number") - 1).alias("row"),
+        F.array_join(lines, "\n").alias("text"),
+        _metadata(source=F.col("file")).alias("metadata"),
+    )
+
+
 def _json_documents(texts: DataFrame, path: str) -> DataFrame:
     """Documents at ``path`` in JSON texts ``(source, row, content)``.
 
@@ -282,9 +322,19 @@ def read_json_docs(
     path: str = "$",
     lines: bool = False,
     encoding: str = "utf-8",
+    split: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Documents at a JSON path of each file, or of each line with ``lines``."""
+    """Documents at a JSON path of each file, or of each line with ``lines``.
+
+    ``split`` reads large files in many tasks, each of which is one JSON array, without ever holding one as a
+    whole (see :mod:`recordloom.sources.cutting`); the path begins with ``$[*]``. An element that is not JSON
+    gives a document with NULL text and an ``error``, the others are read. UTF-8 only.
+    """
+    if split:
+        if lines or not path.startswith("$[*]") or spark_encoding(encoding) not in ("UTF-8", "US-ASCII"):
+            raise ConfigurationError("JSON arrays are read in splits as UTF-8, with a path that begins with $[*]")
+        return _split_json_docs(spark, paths, path.removeprefix("$[*]"), options)
     if not lines:
         texts = _whole_files(spark, paths, encoding, options).withColumn("row", F.lit(0).cast("bigint"))
         return _json_documents(texts, path)
@@ -297,6 +347,18 @@ def read_json_docs(
     return _json_documents(texts.where(strip(F.col("content")) != ""), path)
 
 
+def _split_json_docs(spark: SparkSession, paths: str | Sequence[str], tail: str, options: dict[str, str] | None) -> DataFrame:
+    """Documents of the elements of JSON arrays that are read in splits."""
+    found, _ = records(pieces_of(spark, paths, JsonElements(), file_path(), options), JsonElements())
+    text = F.when(F.col("number") == 0, F.regexp_replace("text", r"^\s*\[", "")).otherwise(F.col("text"))
+    text = F.when(F.col("last"), F.regexp_replace(text, r"\]\s*$", "")).otherwise(text)
+    elements = found.select(F.col("file").alias("source"), F.col("number").alias("row"), "last", text.alias("content"))
+    empty = (F.col("row") == 0) & F.col("last") & (strip(F.col("content")) == "")
+    documents = _json_documents(elements.where(~empty).drop("last"), f"${tail}")
+    place = F.create_map(F.lit("seq_num"), F.col("row").cast("string"))
+    return documents.select("source", F.lit(0).cast("bigint").alias("row"), "text", F.map_concat("metadata", place).alias("metadata"))
+
+
 def _iso(name: str, data_type: T.DataType) -> Column:
     """A column as metadata text; timestamps in ISO form, with a fraction only if there is one."""
     value = F.col(named(name))

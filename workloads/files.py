@@ -85,6 +85,41 @@ def csv_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_docs(spark, path).select("text")
 
 
+def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with a comment that has quotes, commas, brackets and line breaks in it."""
+    way = F.col("l_linenumber") % 4
+    note = (
+        F.when(way == 0, F.concat(F.lit('a "'), "l_returnflag", F.lit('",\nthen [x], ""')))
+        .when(way == 1, F.concat(F.lit("{\\"), "l_returnflag", F.lit("\r\n,\n\n")))
+        .when(way == 2, F.lit(None))
+        .otherwise(F.col("l_returnflag"))
+    )
+    rows = table(spark, sf_dir, "lineitem")
+    return rows.select("l_orderkey", note.alias("note"), "l_linenumber", "l_quantity")
+
+
+def csv_split_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV file of all order lines, read in many tasks, and one of parts with another header."""
+    path = new_work_dir(spark, "csv")
+    write_csv(_line_items(spark, sf_dir), f"{path}/lines", files=1)
+    write_csv(_parts(spark, sf_dir), f"{path}/parts", order=["p_partkey"], files=1)
+    documents = read_csv_docs(spark, [f"{path}/lines", f"{path}/parts"], split=True)
+    place = F.when(F.col("text").startswith("p_partkey"), F.col("row"))  # parts were written in order
+    return documents.select(place.alias("row"), "text")
+
+
+def json_array_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON array of all order lines, read in many tasks."""
+    path = new_work_dir(spark, "array")
+    items = _line_items(spark, sf_dir).select(F.struct("l_orderkey", F.struct("note", F.array("l_linenumber").alias("at")).alias("of")).alias("item"))
+    line = F.to_json("item", {"ignoreNullFields": "false"})
+    # lines of one file: an opening bracket, elements with a comma behind each, a last one and the closing bracket
+    lines = items.select(F.lit(1).alias("place"), F.concat(F.lit(" "), line, F.lit(",")).alias("value"))
+    ends = spark.createDataFrame([(0, "["), (2, '{"l_orderkey":0,"of":{"note":"]","at":[]}}]')], "place int, value string")
+    lines.unionByName(ends).repartition(1).sortWithinPartitions("place").select("value").write.text(path)
+    return read_json_docs(spark, path, "$[*].of", split=True).select("text")
+
+
 def tsv_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tab-separated file per fifty parts, each read as one document."""
     line = F.struct("p_partkey", F.concat_ws("\t", "p_partkey", "p_name", "p_size").alias("line"))
@@ -233,12 +268,91 @@ def converted_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert_jsonl(spark, path, PART, new_work_dir(spark, "out"), ["all"], expected)
 
 
+def converted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the converted CSV and Parquet files hold, record by record, beside the counts of the conversion."""
+    base = new_work_dir(spark, "out")
+    report = convert_jsonl(spark, _lines_with_errors(spark, sf_dir), PART, base, ["all"])
+    reader = spark.read.schema(PART.schema).options(
+        header="true", escape='"', multiLine="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    )
+    found = {"csv": reader.csv(f"{base}.csv"), "parquet": spark.read.parquet(f"{base}.parquet")}
+    rows = [f.select(F.lit(name).alias("format"), *PART.field_names) for name, f in found.items()]
+    counted = report.select(F.lit("loaded").alias("format"), F.col("loaded").alias("p_partkey"))
+    return rows[0].unionByName(rows[1]).unionByName(counted, allowMissingColumns=True)
+
+
+def _every_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns under names of every kind of file that is read, in folders of two levels."""
+    turns = table(spark, sf_dir, "conversations").withColumn("id", F.expr("conv_id * 100 + turn"))
+    kinds = (".txt", ".md", ".rst", ".tsv", ".xml", ".html", ".HTM", ".csv", ".json", ".jsonl", ".bin")
+    kind = F.col("id") % len(kinds)
+    safe = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    quoted = F.concat(F.lit('text,"no"\n"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('",1\n'))
+    other = F.concat(F.lit("no\n2\n"), "id", F.lit("\n"))
+    content = (
+        F.when(kind == 4, F.concat(F.lit("<r><t>"), safe, F.lit("</t></r>")))
+        .when(kind.isin(5, 6), F.concat(F.lit("<title>T</title><p>"), safe, F.lit("</p>")))
+        .when((kind == 7) & (F.col("turn") == 0), other)
+        .when(kind == 7, quoted)
+        .when(kind.isin(8, 9), F.to_json(F.struct("text")))
+        .otherwise(F.col("text"))
+    )
+    ending = F.element_at(F.array(*[F.lit(k) for k in kinds]), (kind + 1).cast("int"))
+    place = F.when(F.col("turn") % 2 == 0, F.lit("deep/er/")).otherwise(F.lit(""))
+    return _named(turns, F.concat(place, F.lit("turn-"), F.col("id").cast("string"), ending), content)
+
+
+def dir_all_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with files of every kind, CSV files of two headers and unlike Parquet tables among them; unknown ones stay out."""
+    folder = write_files(_every_kind(spark, sf_dir), "kinds")
+    _unlike_tables(spark, sf_dir, f"{folder}/tables")
+    how = ReadOptions(json_path="$.text", csv={"mixed_headers": True})
+    documents, quarantine = read_documents(spark, folder, recursive=True, glob="[!_]*", how=how)
+    left_out = quarantine.select(_file_name(), F.lit(None).cast("string").alias("text"))
+    # part files have names of Spark's own
+    name = F.regexp_replace(F.substring_index("source", "/", -1), r"^part-.*\.parquet$", "part.parquet").alias("file")
+    return documents.select(name, "text").unionByName(left_out)
+
+
+def _unlike_tables(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Three Parquet tables in one folder: one column has another type in each, or is missing."""
+    items = table(spark, sf_dir, "benchmark")
+    items.select("item_id", "text").write.parquet(f"{path}/a")
+    items.select(F.concat(F.lit("i"), "item_id").alias("item_id"), (F.col("item_id") / 4).alias("share")).write.parquet(f"{path}/b")
+    items.select(F.length("text").alias("size")).write.parquet(f"{path}/c")
+
+
+def many_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unlike Parquet tables, named one by one and through a folder, as one set of documents; each row has its own columns."""
+    folder = new_work_dir(spark, "tables")
+    _unlike_tables(spark, sf_dir, folder)
+    documents, _ = read_many(spark, [f"{folder}/b", f"{folder}/a", f"{folder}/c"])
+    keys = F.array_join(F.array_sort(F.array_except(F.map_keys("metadata"), F.array(F.lit("source"), F.lit("row")))), ",")
+    return documents.select("source_pos", "text", keys.alias("columns"))
+
+
+def many_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of which some cannot be read: files that are no Parquet, a missing path, an unknown kind, a page."""
+    items = table(spark, sf_dir, "benchmark")
+    folder = write_files(_named(items, _numbered("item-", "item_id", ".parquet"), F.col("text")), "broken")
+    items.select("item_id", "text").coalesce(1).write.mode("append").parquet(folder)
+    other = write_files(_named(items.where("item_id = 1"), _numbered("item-", "item_id", ".pdf"), F.col("text")), "other")
+    sources = [folder, f"{other}/item-1.pdf", f"{folder}/gone.csv", "https://example.com/"]
+    how = ReadOptions(parquet={"content_column": "text", "metadata_columns": []})
+    documents, errors = read_many(spark, sources, how=how)
+    reason = F.when(F.col("source").endswith(".parquet"), "not a table").otherwise(F.col("error"))
+    failed = errors.select("source_pos", F.substring_index("source", "/", -1).alias("name"), reason.alias("text"))
+    return documents.select("source_pos", F.lit("row").alias("name"), "text").unionByName(failed)
+
+
 QUERIES: dict[str, Query] = {
     "text_docs": text_docs,
     "md_docs": md_docs,
     "xml_docs": xml_docs,
     "html_docs": html_docs,
     "csv_docs": csv_docs,
+    "csv_split_docs": csv_split_docs,
+    "json_array_docs": json_array_docs,
     "tsv_docs": tsv_docs,
     "tsv_row_docs": tsv_row_docs,
     "json_docs": json_docs,
@@ -252,6 +366,10 @@ QUERIES: dict[str, Query] = {
     "jsonl_bad_lines": jsonl_bad_lines,
     "jsonl_good_lines": jsonl_good_lines,
     "converted_jsonl": converted_jsonl,
+    "converted_files": converted_files,
+    "dir_all_kinds": dir_all_kinds,
+    "many_tables": many_tables,
+    "many_errors": many_errors,
 }
 
 # ---------------------------------------------------------------------------------------------------
@@ -271,6 +389,17 @@ PARTS = """parts AS (
   FROM part
 )"""
 
+UNLIKE = """
+  SELECT 1 AS source_pos, to_json({'item_id': item_id, 'text': text})::VARCHAR AS text, 'item_id,text' AS columns FROM benchmark
+  UNION ALL SELECT 0, to_json({'item_id': 'i' || item_id, 'share': item_id / 4.0::DOUBLE})::VARCHAR, 'item_id,share' FROM benchmark
+  UNION ALL SELECT 2, to_json({'size': length(text)})::VARCHAR, 'size' FROM benchmark"""
+
+LINES = """lines AS (
+  SELECT l_orderkey, l_linenumber, l_quantity, CASE l_linenumber % 4 WHEN 0 THEN 'a "' || l_returnflag || '",' || chr(10) || 'then [x], ""'
+    WHEN 1 THEN '{\\' || l_returnflag || chr(13) || chr(10) || ',' || chr(10) || chr(10) WHEN 2 THEN NULL ELSE l_returnflag END AS note
+  FROM lineitem
+)"""
+
 LINE = """to_json({'p_partkey': p_partkey, 'p_name': p_name, 'p_brand': p_brand, 'p_size': p_size,
   'p_retailprice': p_retailprice, 'note': note})::VARCHAR"""
 
@@ -283,6 +412,14 @@ ORACLES: dict[str, str] = {
   {sql_page_title('html')} AS title FROM pages""",
     "csv_docs": """SELECT 'o_orderkey: ' || o_orderkey || chr(10) || 'note: say "' || o_orderpriority || '",' || chr(10)
   || 'then' || chr(10) || 'o_totalprice: ' || o_totalprice AS text FROM orders""",
+    "csv_split_docs": f"""WITH {LINES}, {PARTS}
+SELECT NULL::BIGINT AS row, 'l_orderkey: ' || l_orderkey || chr(10) || 'note: ' || regexp_replace(coalesce(note, ''), '\\s+$', '') || chr(10)
+  || 'l_linenumber: ' || l_linenumber || chr(10) || 'l_quantity: ' || l_quantity AS text FROM lines
+UNION ALL SELECT row_number() OVER (ORDER BY p_partkey) - 1, 'p_partkey: ' || p_partkey || chr(10) || 'p_name: ' || trim(p_name) || chr(10) || 'p_brand: '
+  || p_brand || chr(10) || 'p_size: ' || p_size || chr(10) || 'p_retailprice: ' || p_retailprice || chr(10) || 'note: '
+  || trim(coalesce(note, ''), ' ' || chr(10)) FROM parts""",
+    "json_array_docs": f"""WITH {LINES}
+SELECT to_json({{'note': note, 'at': [l_linenumber]}})::VARCHAR AS text FROM lines UNION ALL SELECT '{{"note":"]","at":[]}}'""",
     "tsv_docs": """SELECT 'parts-' || id || '.tsv' AS file,
   'key' || chr(9) || 'name' || chr(9) || 'size ' || string_agg(p_partkey || chr(9) || p_name || chr(9) || p_size, ' '
   ORDER BY p_partkey) AS text
@@ -311,4 +448,19 @@ SELECT line, count(*) AS lines FROM (
     "jsonl_good_lines": f"WITH {PARTS} SELECT * FROM parts WHERE p_partkey % 7 <> 0",
     "converted_jsonl": """SELECT count(*) FILTER (p_partkey % 7 <> 0) AS loaded, count(*) AS expected,
   count(*) FILTER (p_partkey % 7 <> 0) = count(*) AS matches FROM part""",
+    "converted_files": f"""WITH {PARTS}
+SELECT format, parts.* FROM parts, (VALUES ('csv'), ('parquet')) f(format) WHERE p_partkey % 7 <> 0
+UNION ALL SELECT 'loaded', count(*), NULL, NULL, NULL, NULL, NULL FROM parts WHERE p_partkey % 7 <> 0""",
+    "dir_all_kinds": f"""WITH turns AS (SELECT *, conv_id * 100 + turn AS id, (conv_id * 100 + turn) % 11 AS kind FROM conversations)
+SELECT 'turn-' || id || ['.txt', '.md', '.rst', '.tsv', '.xml', '.html', '.HTM', '.csv', '.json', '.jsonl', '.bin'][kind + 1] AS file,
+  CASE WHEN kind IN (1, 2, 3, 4) THEN {sql_clean('text')} WHEN kind IN (5, 6) THEN 'T ' || {sql_clean('text')}
+    WHEN kind = 7 AND turn = 0 THEN 'no: ' || row WHEN kind = 7 THEN 'text: ' || trim(text) || chr(10) || 'no: 1'
+    WHEN kind = 10 THEN NULL ELSE text END AS text
+FROM (SELECT *, unnest(CASE WHEN kind = 7 AND turn = 0 THEN [2, id] ELSE [0] END) AS row FROM turns)
+UNION ALL SELECT 'part.parquet', text FROM ({UNLIKE})""",
+    "many_tables": f"SELECT source_pos, text, columns FROM ({UNLIKE})",
+    "many_errors": """SELECT 0 AS source_pos, 'row' AS name, text FROM benchmark
+UNION ALL SELECT 0, 'item-' || item_id || '.parquet', 'not a table' FROM benchmark
+UNION ALL SELECT 1, 'item-1.pdf', 'unsupported file format' UNION ALL SELECT 2, 'gone.csv', 'path not found'
+UNION ALL SELECT 3, '', 'fetching pages is not supported'""",
 }
