@@ -25,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CONTEXT_CHARS = 20_000
 SHARD_DOCS = 100
 CHUNK, OVERLAP = 1000, 200
+NESTED_CHUNK, SEPARATORS = 400, ("\n\n", "\n", ". ", " ")
 MARKUP = (
     "<p>caf&eacute; &Eacute; &euro;5 &frac12; &NotEqual; &thetasym; &#8212; &#x1F600; &#150; &#0; &amp;lt; &unknown; "
     "<style>p{}</style>&nbsp;<b>"
@@ -73,6 +74,19 @@ def packed_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.pack_contexts(documents, CONTEXT_CHARS, "doc_id", SHARD_DOCS).select("doc_id", "shard", "context")
 
 
+def filled_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in contexts that hold to their budget, two characters between documents; and what the contexts hold."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = docs.fill_contexts(documents, CONTEXT_CHARS, "doc_id", SHARD_DOCS, between=2)
+    return placed.select("doc_id", "piece", "shard", "context", F.md5("text").alias("text_md5"))
+
+
+def nested_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks that end with paragraphs, else lines, sentences or words, as long as they may be."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.chunk_documents(documents, NESTED_CHUNK, separators=SEPARATORS)
+
+
 def document_prompt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts over packed documents, each with the whole texts."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -210,6 +224,8 @@ QUERIES: dict[str, Query] = {
     "system_prompt_rows": system_prompt_rows,
     "example_json": example_json,
     "packed_contexts": packed_contexts,
+    "filled_contexts": filled_contexts,
+    "nested_chunks": nested_chunks,
     "document_prompt_rows": document_prompt_rows,
     "refined_queries": refined_queries,
     "output_names": output_names,
@@ -299,6 +315,18 @@ verified | boolean | no | Whether it was checked | false
 
 PAIR_EXAMPLE = '[{"anchor": "...", "positive": "..."}]'
 
+def sql_pieces(text: str, separators: tuple[str, ...], depth: int = 0) -> str:
+    """Pieces of at most NESTED_CHUNK characters behind the separators, in SQL."""
+    if not separators:
+        return f"regexp_extract_all({text}, '(?s).{{1,{NESTED_CHUNK}}}')"
+    first, piece = sql_text(separators[0]), f"q{depth}"
+    cut = f"string_split({text}, {first})"
+    whole = f"list_filter(list_transform({cut}, lambda p{depth}, i{depth}: CASE WHEN i{depth} < len({cut}) THEN p{depth} || {first} ELSE p{depth} END), lambda r{depth}: r{depth} != '')"
+    finer = sql_pieces(piece, separators[1:], depth + 1)
+    return f"""CASE WHEN length({text}) <= {NESTED_CHUNK} THEN [{text}]
+  ELSE flatten(list_transform({whole}, lambda {piece}: CASE WHEN length({piece}) <= {NESTED_CHUNK} THEN [{piece}] ELSE {finer} END)) END"""
+
+
 ORACLES: dict[str, str] = {
     "request_sizes": f"""SELECT o_orderkey, {sql_request_size('(o_custkey + 1)', '(o_orderkey % 40 + 1)')} AS n_requested
 FROM orders""",
@@ -319,6 +347,29 @@ FROM conversations""",
 FROM conversations""",
     "example_json": """SELECT item_id, '[{"id":1,"text":"sample text","score":1.23,"verified":false}]' AS example
 FROM benchmark""",
+    "filled_contexts": f"""WITH RECURSIVE pieces AS (
+  SELECT doc_id, doc_id // {SHARD_DOCS} AS shard, piece, text[piece * {CONTEXT_CHARS} + 1 : (piece + 1) * {CONTEXT_CHARS}] AS text
+  FROM (SELECT doc_id, text, unnest(range(greatest(1, (length(text) + {CONTEXT_CHARS} - 1) // {CONTEXT_CHARS}))) AS piece FROM documents)
+), items AS (
+  SELECT *, length(text) AS size, row_number() OVER (PARTITION BY shard ORDER BY doc_id, piece) AS place FROM pieces
+), placed AS (
+  SELECT shard, place, 0 AS context, size AS used FROM items WHERE place = 1
+  UNION ALL
+  SELECT i.shard, i.place, CASE WHEN used + 2 + size <= {CONTEXT_CHARS} THEN context ELSE context + 1 END,
+    CASE WHEN used + 2 + size <= {CONTEXT_CHARS} THEN used + 2 + size ELSE size END
+  FROM placed p JOIN items i ON i.shard = p.shard AND i.place = p.place + 1
+)
+SELECT doc_id, CAST(piece AS INTEGER) AS piece, shard, CAST(context AS BIGINT) AS context, md5(text) AS text_md5 FROM items JOIN placed USING (shard, place)""",
+    "nested_chunks": f"""WITH RECURSIVE cut AS (SELECT doc_id, text, {sql_pieces('text', SEPARATORS)} AS pieces FROM documents),
+sizes AS (SELECT doc_id, text, list_transform(pieces, lambda p: length(p)) AS sizes FROM cut),
+ends AS (SELECT doc_id, text, list_transform(range(1, len(sizes) + 1), lambda i: CAST(list_sum(sizes[1:i]) AS BIGINT)) AS ends FROM sizes),
+walk AS (
+  SELECT doc_id, text, ends, 0::BIGINT AS start, list_max(list_filter(ends, lambda e: e <= {NESTED_CHUNK})) AS stop FROM ends WHERE text != ''
+  UNION ALL
+  SELECT doc_id, text, ends, stop, list_max(list_filter(ends, lambda e: e <= stop + {NESTED_CHUNK})) FROM walk WHERE stop < length(text)
+)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY start) - 1 AS INTEGER) AS chunk, text[start + 1 : stop] AS text
+FROM walk WHERE regexp_matches(text[start + 1 : stop], '[^\\s]')""",
     "packed_contexts": f"WITH {sql_packed(0)} SELECT doc_id, shard, context FROM packed",
     "document_prompt_rows": f"""WITH {sql_packed(7)}
 SELECT shard, context, count(*) AS n_documents, md5(
