@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.operators.dedup import dedup_first, unique_per_batch
-from recordloom.operators.running import BLOCK_ROWS, with_run_length, with_totals_before
+from recordloom.operators.running import with_run_length, with_totals_before
 from recordloom.params import failure_limit
 
 
@@ -83,10 +83,10 @@ def batch_offsets(summary: DataFrame, group: Sequence[str] = (), batch: str = "b
 
 
 def consecutive_failures(
-    batches: DataFrame, group: Sequence[str] = (), batch: str = "batch_id", block_rows: int = BLOCK_ROWS
+    batches: DataFrame, group: Sequence[str] = (), batch: str = "batch_id", ranges: int | None = None
 ) -> DataFrame:
     """Add ``consecutive_failures``: length of the run of batches without a valid item ending here."""
-    return with_run_length(batches, batch, F.col("valid") > 0, "consecutive_failures", group, block_rows)
+    return with_run_length(batches, batch, F.col("valid") > 0, "consecutive_failures", group, ranges)
 
 
 def failure_cutoff(
@@ -94,14 +94,14 @@ def failure_cutoff(
     max_retries: int,
     group: Sequence[str] = (),
     batch: str = "batch_id",
-    block_rows: int = BLOCK_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """First batch of each group at which too many in a row have failed: ``(group, stop_batch)``.
 
     Groups that never stop are left out; without groups there is at most one row.
     """
     limit = failure_limit(max_retries)
-    stops = consecutive_failures(batches, group, batch, block_rows).where(F.col("consecutive_failures") >= limit)
+    stops = consecutive_failures(batches, group, batch, ranges).where(F.col("consecutive_failures") >= limit)
     if group:
         return stops.groupBy(*group).agg(F.min(batch).alias("stop_batch"))
     return stops.agg(F.min(batch).alias("stop_batch")).where(F.col("stop_batch").isNotNull())

@@ -66,13 +66,13 @@ def test_hot_hash_is_reduced_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
-@pytest.mark.parametrize("block_rows", [1, 3, 7, 4096])
-def test_totals_and_runs_over_blocks(spark, block_rows):
-    rng = random.Random(block_rows)
+@pytest.mark.parametrize("ranges", [1, 3, 60, None])
+def test_totals_and_runs_over_ranges(spark, ranges):
+    rng = random.Random(ranges)
     rows = [(g, b, rng.random() < 0.3, rng.randint(0, 5)) for g in "ab" for b in range(50 if g == "a" else 5)]
     frame = spark.createDataFrame(rows, "g string, b bigint, ok boolean, n bigint")
-    totals = with_totals_before(frame, "b", {"before": F.col("n"), "place": F.lit(1)}, ["g"], block_rows)
-    runs = with_run_length(totals, "b", F.col("ok"), "run", ["g"], block_rows)
+    totals = with_totals_before(frame, "b", {"before": F.col("n"), "place": F.lit(1)}, ["g"], ranges)
+    runs = with_run_length(totals, "b", F.col("ok"), "run", ["g"], ranges)
     expected = []
     for g in "ab":
         before = place = run = 0
@@ -142,14 +142,14 @@ def test_run_summary_of_nothing(spark):
     assert tuple(batches.run_summary(empty).head()) == (0, 0, 0)
 
 
-@pytest.mark.parametrize("block_rows", [2, 4096])
-def test_failure_cutoff(spark, block_rows):
+@pytest.mark.parametrize("ranges", [None, 9])
+def test_failure_cutoff(spark, ranges):
     runs = {"a": [1, 0, 0, 1, 0, 0, 0, 0, 1], "b": [0, 0, 1, 0, 0], "c": [0] * 6}
     rows = [(g, i, v) for g, values in runs.items() for i, v in enumerate(values)]
     frame = spark.createDataFrame(rows, "g string, batch_id bigint, valid bigint")
-    stops = batches.failure_cutoff(frame, 2, ["g"], block_rows=block_rows)
+    stops = batches.failure_cutoff(frame, 2, ["g"], ranges=ranges)
     assert {r.g: r.stop_batch for r in stops.collect()} == {"a": 6, "c": 2}
-    later = batches.failure_cutoff(frame, 5, ["g"], block_rows=block_rows)
+    later = batches.failure_cutoff(frame, 5, ["g"], ranges=ranges)
     assert {r.g: r.stop_batch for r in later.collect()} == {"c": 5}
     only_b = frame.where("g = 'b'")
     assert batches.failure_cutoff(only_b, 2).collect() == []
@@ -161,16 +161,36 @@ def test_preview(spark):
     assert got == ['{\n  "anchor": "c",\n  "positive": "d"\n}', '{\n  "anchor": "é",\n  "positive": "b"\n}']
 
 
-def test_totals_of_sparse_keys(spark, monkeypatch):
-    monkeypatch.setattr(running, "RANGES", 8)
+def test_totals_of_sparse_keys(spark):
+    """Keys far apart fall into ranges of about equal size, as many as are asked for."""
+    rows = [((i * i * 2654435761) % (1 << 61), i % 3) for i in range(1, 2001)]
+    frame = spark.createDataFrame(rows, "b bigint, n bigint")
+    dealt = running._in_ranges(frame, "b", (), 300).groupBy("__range").count().collect()
+    assert len(dealt) > 256 and max(r["count"] for r in dealt) < 30
+    got = with_totals_before(frame, "b", {"before": F.col("n")}, ranges=300)
+    before, expected = 0, []
+    for b, n in sorted(rows):
+        expected.append((b, before))
+        before += n
+    assert sorted((r.b, r.before) for r in got.collect()) == expected
+
+
+def test_totals_of_sparse_keys_in_groups(spark):
     rng = random.Random(4)
     rows = [("a" if i % 3 else "b", rng.randrange(-(2**62), 2**62), i % 5) for i in range(400)] + [("c", None, 1)]
     frame = spark.createDataFrame(rows, "g string, b bigint, n int")
-    totals = with_totals_before(frame, "b", {"before": F.col("n")}, ["g"], 10)
-    blocks = running._in_blocks(frame, "b", 10).groupBy("__block").count().collect()
-    assert len(blocks) == 8 and max(r["count"] for r in blocks) < 100
+    totals = with_totals_before(frame, "b", {"before": F.col("n")}, ["g"], 40)
+    dealt = running._in_ranges(frame, "b", ("g",), 40).groupBy("__range").count().collect()
+    assert len(dealt) > 30 and max(r["count"] for r in dealt) < 40
     expected, seen = [], {"a": 0, "b": 0}
     for g, b, n in sorted((r for r in rows if r[1] is not None), key=lambda r: r[1]):
         expected.append((g, b, seen[g]))
         seen[g] += n
     assert sorted((r.g, r.b, r.before) for r in totals.collect()) == sorted(expected)
+
+
+def test_rows_without_a_key_are_left_out(spark):
+    frame = spark.createDataFrame([("a", 1, 5), ("a", None, 7), ("a", 2, 1)], "g string, b bigint, n bigint")
+    got = with_totals_before(frame, "b", {"before": F.col("n")}, ["g"]).collect()
+    assert sorted((r.b, r.before) for r in got) == [(1, 0), (2, 5)]
+    assert with_totals_before(frame.where("false"), "b", {"before": F.col("n")}).collect() == []

@@ -210,6 +210,24 @@ def failure_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.failure_cutoff(_event_outcomes(spark, sf_dir), 2, ["user_id"])
 
 
+def _sparse_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as batches of few, large groups, whose numbers lie far apart and in no order."""
+    number = F.expr("(o_orderkey * 2654435761) % 2305843009213693951")
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(F.col("o_orderstatus").alias("run"), number.alias("batch_id"), (F.col("o_custkey") % 7).alias("new_unique"))
+
+
+def batch_offsets_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unique records before each batch of its run; batch numbers are sparse, and a run may hold half of all."""
+    return batches.batch_offsets(_sparse_batches(spark, sf_dir), ["run"])
+
+
+def failure_runs_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches in a row without a record, in order of sparse numbers."""
+    made = _sparse_batches(spark, sf_dir).select("run", "batch_id", F.when(F.col("new_unique") > 4, 1).otherwise(0).alias("valid"))
+    return batches.consecutive_failures(made, ["run"]).select("run", "batch_id", "consecutive_failures")
+
+
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     preview = dedup.preview(_records(spark, sf_dir, "qa").unique, built_in("qa"))
     return preview.select("batch_id", F.col("pos").cast("bigint").alias("pos"), "preview")
@@ -244,6 +262,8 @@ QUERIES: dict[str, Query] = {
     "stagnant_batches": stagnant_batches,
     "batch_offsets": batch_offsets,
     "failure_runs": failure_runs,
+    "batch_offsets_sparse": batch_offsets_sparse,
+    "failure_runs_sparse": failure_runs_sparse,
     "failure_cutoff": failure_cutoff,
     "preview_rows": preview_rows,
     "format_definition_errors": format_definition_errors,
@@ -252,6 +272,10 @@ QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------------------------------------------
 # The same results in SQL.
 
+SPARSE = """sparse AS (
+  SELECT o_orderstatus AS run, (o_orderkey * 2654435761) % 2305843009213693951 AS batch_id, o_custkey % 7 AS new_unique FROM orders
+)"""
+
 ITEMS = """
 items AS (
   SELECT doc_id, text, lang, source, doc_id % 20 AS defect, (doc_id * 2 + ahead) // 50 AS batch_id,
@@ -417,6 +441,14 @@ SELECT batch_id, valid, valid AS duplicates FROM summary WHERE valid > 0 AND new
 SELECT batch_id, new_unique, CAST(coalesce(sum(new_unique) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING
        AND 1 PRECEDING), 0) AS BIGINT) AS item_offset
 FROM summary""",
+    "batch_offsets_sparse": f"""WITH {SPARSE}
+SELECT run, batch_id, new_unique, coalesce(sum(new_unique) OVER (PARTITION BY run ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS item_offset
+FROM sparse""",
+    "failure_runs_sparse": f"""WITH {SPARSE}, numbered AS (
+  SELECT run, batch_id, new_unique > 4 AS good, row_number() OVER (PARTITION BY run ORDER BY batch_id) AS place FROM sparse
+)
+SELECT run, batch_id, (place - coalesce(max(CASE WHEN good THEN place END) OVER (PARTITION BY run ORDER BY batch_id), 0))::BIGINT AS consecutive_failures
+FROM numbered""",
     "failure_runs": """SELECT event_id AS batch_id, n - coalesce(max(CASE WHEN event_type <> 'error' THEN n END)
        OVER (ORDER BY event_id), 0) AS consecutive_failures
 FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS n FROM events)""",
