@@ -39,7 +39,7 @@ from recordloom.session import new_work_dir, written
 HOT = 1 << 18
 #: Bytes of text a step takes, links that are made at once, tokens from which a group counts distinct ids first,
 #: (document, pair) rows that are counted at once, and stretches of text that a worker remembers per tokenizer.
-STEP, SLICE, MANY, COUNTED, REMEMBERED = 1 << 20, 1 << 20, 64, 1 << 21, 1 << 20
+STEP, SLICE, MANY, COUNTED, REMEMBERED = 1 << 19, 1 << 18, 64, 1 << 20, 1 << 19
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -270,6 +270,7 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    per_worker("pairs", lambda: None)  # the tokenizers are needed no more
     held, size = [], 0
 
     def out() -> pa.RecordBatch:
