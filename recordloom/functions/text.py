@@ -76,14 +76,19 @@ def decode_entities(text: str) -> str:
 
     References to ``&`` come last, so nothing is decoded twice.
     """
-    names = ", ".join(f"{quoted(name)}, {quoted(char)}" for name, char in NAMED_ENTITIES.items())
+    # names are looked up among those with the same first letter
+    by_letter: dict[str, list[str]] = {}
+    for name, char in NAMED_ENTITIES.items():
+        by_letter.setdefault(name[0], []).append(f"{quoted(name)}, {quoted(char)}")
+    maps = " ".join(f"WHEN {quoted(letter)} THEN try_element_at(map({', '.join(pairs)}), r)" for letter, pairs in by_letter.items())
+    named_char = f"CASE substring(r, 1, 1) {maps} END"
     number = "cast(if(lower(substring(r, 2, 1)) = 'x', conv(substring(r, 3), 16, 10), substring(r, 2)) as bigint)"
     valid = f"{number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111"
     numbers = ", ".join(f"{number}L, {quoted(char)}" for number, char in NUMBERS.items())
     character = f"decode(unhex(lpad(hex(if({valid}, {number}, 65533L)), 8, '0')), 'UTF-32')"
     char = (
         f"CASE WHEN startswith(r, '#') THEN coalesce(try_element_at(map({numbers}), {number}), {character}) "
-        f"ELSE try_element_at(map({names}), r) END"
+        f"ELSE {named_char} END"
     )
     references = f"array_distinct(regexp_extract_all({text}, {quoted(ENTITY)}, 1))"
     known = f"filter(transform({references}, r -> struct(r, {char} AS c)), p -> p.c IS NOT NULL)"

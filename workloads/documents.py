@@ -313,7 +313,7 @@ score | float | no | How good it is |
 verified | boolean | no | Whether it was checked | false
 """
 
-PAIR_EXAMPLE = '[{"anchor": "...", "positive": "..."}]'
+PAIR_EXAMPLE = '[{"anchor":"sample text","positive":"sample text"}]'
 
 def sql_pieces(text: str, separators: tuple[str, ...], depth: int = 0) -> str:
     """Pieces of at most NESTED_CHUNK characters behind the separators, in SQL."""

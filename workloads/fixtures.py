@@ -94,6 +94,9 @@ def _item_json(format_name: str) -> Column:
         text = text.when(defect == 11, packed(fields | out_of_range[format_name]))
     if format_name == "note":
         text = text.when(defect == 11, packed(fields | {"text": F.lit(None).cast("string")}, keep_nulls=True))
+    number_field = {"pair-class": "label", "pair-score": "score", "note": "score"}.get(format_name)
+    if number_field:
+        text = text.when(defect == 15, packed(fields | {number_field: F.floor(F.col("doc_id") / 20) % 2 == 0}))
     if "score" in fields:
         text = text.when(defect == 19, packed(fields | {"score": F.lit(1)}))
     return text.otherwise(packed(fields))

@@ -293,12 +293,12 @@ SQL_FIELDS = {
     "pair-class": {
         "premise": "CASE WHEN defect = 17 THEN '  ' ELSE text END",
         "hypothesis": "lang",
-        "label": "doc_id % 3",
+        "label": "CASE WHEN defect = 15 THEN (doc_id // 20 % 2 = 0)::BIGINT ELSE doc_id % 3 END",
     },
     "pair-score": {
         "sentence1": "CASE WHEN defect = 17 THEN '  ' ELSE text END",
         "sentence2": "lang",
-        "score": "CASE WHEN defect = 19 THEN 1.0::DOUBLE ELSE (doc_id % 101)::DOUBLE / 100.0::DOUBLE END",
+        "score": "CASE WHEN defect = 19 THEN 1.0::DOUBLE WHEN defect = 15 THEN (doc_id // 20 % 2 = 0)::BIGINT::DOUBLE ELSE (doc_id % 101)::DOUBLE / 100.0::DOUBLE END",
     },
     "pair": {"anchor": "CASE WHEN defect = 17 THEN '  ' ELSE text END", "positive": "lang"},
     "triplet": {
@@ -309,7 +309,7 @@ SQL_FIELDS = {
     "note": {
         "id": "doc_id",
         "text": "CASE WHEN defect = 17 THEN '  ' ELSE text END",
-        "score": "CASE WHEN defect = 19 THEN 1.0::DOUBLE ELSE (doc_id % 101)::DOUBLE / 100.0::DOUBLE END",
+        "score": "CASE WHEN defect = 19 THEN 1.0::DOUBLE WHEN defect = 15 THEN (doc_id // 20 % 2 = 0)::BIGINT::DOUBLE ELSE (doc_id % 101)::DOUBLE / 100.0::DOUBLE END",
         "verified": "CASE WHEN defect = 3 THEN NULL ELSE doc_id % 2 = 0 END",
     },
 }
