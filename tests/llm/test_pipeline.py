@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from recordloom.llm.queries import ORACLES, QUERIES
-from tests.llm.test_documents import lowered, prose
+from tests.llm.test_llm_documents import lowered, prose
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +65,6 @@ def test_stages(spark, corpus, tmp_path):
 
 
 def test_every_operator_has_a_query(spark, corpus):
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == json.loads('["quality", "near_duplicates", "repeated_passages", "benchmark_passages", "token_ids"]')
