@@ -287,6 +287,16 @@ def test_page_rank(spark):
     assert got == pytest.approx(rank)
 
 
+def test_distrust_reaches_far(spark):
+    """A chain of links that ends at a blocked host: all of it is blocked, who is linked from it is not."""
+    link = lambda host: f'<a href="https://{host}/x">x</a>'
+    rows = [(0, "https://bad.org/", "")] + [(i, f"https://h{i}.org/", link("bad.org" if i == 1 else f"h{i - 1}.org")) for i in range(1, 15)]
+    rows += [(20, "https://good.org/", ""), (21, None, link("bad.org"))]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = url_trust.judge(pages, [url_trust.Rule("block", "bad.org"), url_trust.Rule("allow", "good.org")], keep=["page_id"])
+    assert {r.page_id: r.verdict for r in got.collect()} == {i: "block" for i in range(15)} | {20: "allow", 21: "allow"}
+
+
 # ------------------------------------------------------------------ pages
 
 BODY = "<p>First paragraph, with some <b>bold</b> words; and more.</p><p>Second one &mdash; it\n goes  on, and on.</p>"
