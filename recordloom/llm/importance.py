@@ -29,11 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.llm import tables
 from recordloom.llm.arrays import U64, Words, mix, row_key, steps, utf8
 from recordloom.session import new_work_dir, written
 
 BITS = 19
 SIZE = 2 << BITS
+#: Buckets whose counts travel together.
+CHUNK = 1 << 10
 UNIT = 256  # weights are multiples of 1 / UNIT nats
 SURE, EVEN = 4.0, 0.5
 #: Nats of weight that outweigh one unit of Gumbel noise, times UNIT.
@@ -109,15 +112,38 @@ def _counter(labels, id_column: str, text_column: str):
             one, two, text = features(Words(*utf8(batch.column(text_column))))
             kind = np.array([good.get(i, UNKNOWN) for i in batch.column(id_column).to_pylist()], np.int64)[:, 0][text]
             for bucket in (one, two):
-                raw += np.bincount(bucket, minlength=SIZE)
-                target += np.bincount(bucket[kind == 1], minlength=SIZE)
-                other += np.bincount(bucket[kind == 0], minlength=SIZE)
-        some = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (np.arange(SIZE), raw, target, other)], names=list(COUNTS))
+                for table, some in ((raw, bucket), (target, bucket[kind == 1]), (other, bucket[kind == 0])):
+                    np.add.at(table, some, 1)
+        counts = np.stack([raw, target, other])
+        filled = np.flatnonzero(raw.reshape(-1, CHUNK).any(axis=1))
+        for at in range(0, len(filled), 64):
+            part = filled[at : at + 64]
+            data = [counts[:, c * CHUNK : (c + 1) * CHUNK].tobytes() for c in part.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(data, pa.binary())], names=["chunk", "counts"])
 
     return count
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of buckets from the counts of their chunks, which come in order of the chunks."""
+    chunk, total = None, np.zeros((3, CHUNK), np.int64)
+
+    def out() -> pa.RecordBatch:
+        some = np.flatnonzero(total[0])
+        columns = [pa.array(chunk * CHUNK + some), *[pa.array(t[some]) for t in total]]
+        return pa.RecordBatch.from_arrays(columns, names=list(COUNTS))
+
+    for batch in batches:
+        for own, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts"), strict=True):
+            if own != chunk:
+                if chunk is not None:
+                    yield out()
+                chunk, total = own, np.zeros((3, CHUNK), np.int64)
+            total += np.frombuffer(counts.as_buffer(), np.int64).reshape(3, CHUNK)
+    if chunk is not None:
+        yield out()
+
+
 def sample_labels(labels: DataFrame, id_column: str, limit: int = LABELS, seed: int = 1) -> dict:
     """At most ``limit`` labelled ids: id -> (1 if good and not toxic else 0, held out for the cut)."""
     good = F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0))
@@ -154,8 +180,10 @@ def fit(docs: DataFrame, labels: dict, *, id_column: str = "doc_id", text_column
     spark = docs.sparkSession
     read = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
     training = spark.sparkContext.broadcast({i: x for i, x in _one_of_each(read, labels).items() if not x[1]})
-    counted = read.mapInArrow(_counter(training, "id", "text"), ", ".join(f"{c} long" for c in COUNTS))
-    table = written(counted.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in COUNTS[1:]]), new_work_dir(spark, "features"))
+    # a task hands over its counts in chunks of the table, which are added up as they stream by
+    counted = read.mapInArrow(_counter(training, "id", "text"), "chunk int, counts binary")
+    dealt = counted.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").sortWithinPartitions("chunk")
+    table = tables.settled(dealt.mapInArrow(_summed, ", ".join(f"{c} long" for c in COUNTS)), new_work_dir(spark, "features"))
     raw, target, other = table.agg(*[F.sum(c) for c in COUNTS[1:]]).first()
     weights = np.zeros(SIZE, np.int32)
     if target and other:
@@ -222,12 +250,13 @@ def resample(
     """
     spark = docs.sparkSession
     known = sample_labels(labels, id_column, label_limit)
-    model = spark.sparkContext.broadcast(fit(docs, known, id_column=id_column, text_column=text_column))
+    # a plain array: workers need no copy of this package
+    weights = spark.sparkContext.broadcast(fit(docs, known, id_column=id_column, text_column=text_column).weights)
     ids = spark.sparkContext.broadcast(known)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            score, key = _scored(model.value, batch, "text")
+            score, key = _scored(Model(weights.value), batch, "text")
             of = [ids.value.get(i) for i in batch.column("id").to_pylist()]
             label = pa.array([x[0] if x and x[1] else None for x in of], pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(score), pa.array(key), label], names=["score", "key", "label"])
@@ -243,7 +272,7 @@ def resample(
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text_column):
-            score, key = _scored(model.value, batch, text_column)
+            score, key = _scored(Model(weights.value), batch, text_column)
             columns = [batch.column(c) for c in names] + [pa.array(score / UNIT)] * bool(score_column)
             out = pa.RecordBatch.from_arrays(columns, names=[*names, *[score_column] * bool(score_column)])
             yield out.filter(pa.array(key >= least))
