@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Hashable, Iterable, Iterator
@@ -64,6 +65,14 @@ def per_worker(key: Hashable, make: Callable):
     return state["kept"]
 
 
+def give_back() -> None:
+    """Let memory that was freed go back to the system: a worker that waits for its next task should hold little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts one after the other, and where each begins (and the last ends); null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -76,7 +85,7 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def steps(batches: Iterable[pa.RecordBatch], text: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds at most ``most`` bytes of text, or one row."""
+    """Cut batches so that each holds at most ``most`` bytes of text, or one row; freed memory goes back after each batch."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -87,6 +96,8 @@ def steps(batches: Iterable[pa.RecordBatch], text: str, most: int = STEP_BYTES)
             stop = max(start + 1, int(np.searchsorted(size, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        del batch, size
+        give_back()
 
 
 def ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
