@@ -14,6 +14,7 @@ together. Each band has an order of its own, so that a node that one leader does
 In the first search a node gives one pair, with the leader most like it; the pairs are verified and make classes.
 The second search goes through the bands that hold several classes and compares nodes with leaders of other classes
 only, by the KEPT smallest shingles of each bag, which for short texts are all. What may be a link is verified, too.
+Of the nodes a leader stands for each is compared, unless their distance from it tells that none can be near enough.
 A band of near copies that are less similar to each other than a link asks for thus gives few pairs, not its square.
 
 Defined results: null, empty and wordless texts have no near-duplicates, each is a class of its own. Texts that
@@ -39,10 +40,12 @@ SHINGLE = 5
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
 DF_BITS = 18
-#: A share of equal samples this far below the similarity asked for makes no candidate; above SURELY one node stands for another.
-MARGIN, SURELY = 0.25, 0.8
-#: Shingles kept of a node in the search between classes, and how far below the similarity their estimate may lie.
-KEPT, KEPT_MARGIN = 256, 0.1
+#: A share of equal samples this far below the similarity asked for makes no candidate (in the first search, which only
+#: has to find most classes, FIRST_MARGIN); from SURELY on one node stands for another.
+MARGIN, FIRST_MARGIN, SURELY = 0.3, 0.25, 0.8
+#: Shingles kept of a node in the search between classes, and how far below the similarity their estimate may lie; if
+#: fewer than EVEN shingles of equal weight would tell as much as the kept ones, only the samples count.
+KEPT, KEPT_MARGIN, EVEN = 256, 0.15, 128
 #: Nodes of a band that one task searches together at first.
 PART = 1000
 ID, KEY = "__id", "__row_key"
@@ -209,8 +212,7 @@ class _Leaders:
 
 
 def _search(rows: DataFrame, by: list[str], maybe: float) -> DataFrame:
-    """In groups of ``by``: a node and the leader most like it (a, b, share of equal samples); and each leader
-    (a alone), with 1 in ``equal`` if a node was like it."""
+    """In groups of ``by``: a node and the leader most like it (a, b, share of equal samples); and each leader (a alone)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def table(out: list[tuple]) -> pa.RecordBatch:
@@ -220,19 +222,18 @@ def _search(rows: DataFrame, by: list[str], maybe: float) -> DataFrame:
 
         def led() -> Iterator[pa.RecordBatch]:
             for i in range(0, len(leaders.rows), 4096):
-                yield table([(group[0], n, None, 1.0 if n in like else None, s.tobytes()) for n, s in zip(leaders.rows[i : i + 4096], leaders.samples[i:], strict=False)])
+                yield table([(group[0], n, None, None, s.tobytes()) for n, s in zip(leaders.rows[i : i + 4096], leaders.samples[i:], strict=False)])
 
-        group, leaders, like = None, _Leaders(), set()
+        group, leaders = None, _Leaders()
         for key, members in _groups(batches, by):
             if key != group:
                 yield from led()
-                group, leaders, like = key, _Leaders(), set()
+                group, leaders = key, _Leaders()
             out = []
             for row in members:
                 drawn = np.frombuffer(row["samples"], np.uint8)
                 equal = leaders.equal(drawn)
                 near = np.flatnonzero(equal >= maybe)
-                like.update(leaders.rows[i] for i in near)
                 if len(near):
                     best = near[equal[near].argmax()]
                     out.append((key[0], row["node"], leaders.rows[best], float(equal[best]), None))
@@ -245,8 +246,7 @@ def _search(rows: DataFrame, by: list[str], maybe: float) -> DataFrame:
 
 
 def candidates(nodes: DataFrame, maybe: float) -> DataFrame:
-    """Each node with the leaders most like it, one of each band at most (a, b, share of equal samples); and
-    nodes that another is like (a alone)."""
+    """Each node with the leaders most like it, one of each band at most (a, b, share of equal samples)."""
     spark = nodes.sparkSession
     in_band = nodes.select("node", F.explode("bands").alias("band"))
     shared = in_band.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -255,12 +255,13 @@ def candidates(nodes: DataFrame, maybe: float) -> DataFrame:
     found = written(_search(rows, ["band", "part"], maybe), new_work_dir(spark, "candidates"))
     big = shared.where(F.col("n") >= PART).select("band")
     leaders = found.where("b IS NULL").join(big, "band", "left_semi").select("band", F.col("a").alias("node"), "samples")
-    both = found.unionByName(_search(leaders, ["band"], maybe)).where("equal IS NOT NULL")
+    both = found.unionByName(_search(leaders, ["band"], maybe)).where("b IS NOT NULL")
     return written(both.groupBy("a", "b").agg(F.max("equal").alias("equal")), new_work_dir(spark, "pairs"))
 
 
 def _shingles(texts: DataFrame, idf) -> DataFrame:
-    """Of each text's bag the KEPT shingles with the smallest numbers, and their weights; mostly the whole bag."""
+    """Of each text's bag the KEPT shingles with the smallest numbers, and their weights; mostly the whole bag. ``even``
+    is how many shingles of equal weight would tell as much: few, if some weigh far more than others."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
@@ -268,9 +269,15 @@ def _shingles(texts: DataFrame, idf) -> DataFrame:
             parts = [slice(a, min(a + KEPT, b)) for a, b in itertools.pairwise(first)]
             numbers = pa.array([number[p].tobytes() for p in parts], pa.binary())
             weights = pa.array([weight[p].tobytes() for p in parts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), numbers, weights], names=["node", "numbers", "weights"])
+            even = []
+            for a, b in itertools.pairwise(first):
+                w = weight[a:b]
+                even.append(float(w.sum() ** 2 / max((w * w).sum(), 1e-12) * min(1, KEPT / max(b - a, 1))))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), numbers, weights, pa.array(even, pa.float64())], names=["node", "numbers", "weights", "even"]
+            )
 
-    return texts.select("node", "text").mapInArrow(keep, "node binary, numbers binary, weights binary")
+    return texts.select("node", "text").mapInArrow(keep, "node binary, numbers binary, weights binary, even double")
 
 
 class _Bag:
@@ -282,6 +289,7 @@ class _Bag:
         self.whole = len(self.numbers) < KEPT
         self.last = U64(2**64 - 1) if self.whole else self.numbers[-1]
         self.sums = np.append(0, self.weights.cumsum())
+        self.drawn = np.frombuffer(row["samples"], np.uint8)
 
     def similar(self, others: list[_Bag]) -> np.ndarray:
         """Weighted Jaccard similarity to each of the others, over the shingles known of both; exact for whole bags."""
@@ -297,52 +305,170 @@ class _Bag:
         return both / np.maximum(mine + theirs - both, 1e-12)
 
 
-def _search_apart(rows: DataFrame, by: list[str], similarity: float) -> DataFrame:
-    """In groups of ``by``: pairs of a node and a leader of another class that may be a link (a, b); and each leader
-    (a alone). Links whose similarity is known exactly join their classes for the rest of the group, so that they are
-    fewer than its classes."""
-    payload = ["label", "samples", "numbers", "weights"]
-
-    def root(joined: dict[bytes, bytes], label: bytes) -> bytes:
-        while label in joined:
-            above = joined[label]
-            joined[label] = joined.get(above, above)
+class _Classes:
+    """Classes of a group, joined as links are found in it."""
+
+    def __init__(self):
+        self.joined: dict[bytes, bytes] = {}
+
+    def of(self, bag: _Bag) -> bytes:
+        label = bag.row["label"]
+        while label in self.joined:
+            above = self.joined[label]
+            self.joined[label] = self.joined.get(above, above)
             label = above
         return label
 
+    def links(self, bag: _Bag, others: list[_Bag], similarity: float) -> Iterator[_Bag]:
+        """Those of the others that may be linked with a node of another class. A link that is sure joins the classes."""
+        others = [o for o in others if self.of(o) != self.of(bag)]
+        for o, s in zip(others, bag.similar(others) if others else [], strict=True):
+            exact = bag.whole and o.whole
+            mine, theirs = self.of(bag), self.of(o)
+            if theirs == mine:
+                continue
+            told = exact or min(bag.row["even"], o.row["even"]) >= EVEN
+            if told and s < similarity - (1e-9 if exact else KEPT_MARGIN):
+                continue
+            yield o
+            if exact and s >= similarity + 1e-9:
+                self.joined[theirs] = mine
+
+
+#: What the search between classes gives back: pairs (a, b), and nodes with their leaders (a, leader).
+APART = "band long, a binary, b binary, leader binary, least double"
+
+
+def _apart_rows(out: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*out, strict=True)) or [()] * 5
+    kinds = [pa.int64(), *[pa.binary()] * 3, pa.float64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["band", "a", "b", "leader", "least"])
+
+
+def _search_apart(rows: DataFrame, by: list[str], similarity: float) -> DataFrame:
+    """In groups of ``by``: pairs of nodes of different classes that may be a link (a, b); and, in bands of several
+    parts, each node with the leader that stands for it (a, leader), for leaders with ``least``, the smallest share of
+    samples a node it stands for has in common with it.
+
+    A node is stood for by a leader of its own class within SURELY of it. Shares of unlike samples are distances, so a
+    leader far enough from a node, by ``least``, has none near it; of other leaders every node is compared, unless it is
+    of the node's class. Links known exactly join their classes for the rest of the group."""
+    maybe, many = similarity - MARGIN - 1e-9, PART
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, leaders, joined = None, _Leaders(), {}
+        def led() -> Iterator[pa.RecordBatch]:
+            alone = [(group[0], f[0].row["node"], None, f[0].row["node"], float(n)) for f, n in zip(leaders.rows, least, strict=True) if f[0].row["n"] >= many]
+            if alone:
+                yield _apart_rows(alone)
+
+        group, leaders, least, classes = None, _Leaders(), [], _Classes()
         for key, members in _groups(batches, by):
             if key != group:
-                group, leaders, joined = key, _Leaders(), {}
+                yield from led()
+                group, leaders, least, classes = key, _Leaders(), [], _Classes()
             out = []
             for row in members:
-                drawn, bag = np.frombuffer(row["samples"], np.uint8), _Bag(row)
-                equal = leaders.equal(drawn)
-                near = np.flatnonzero(equal >= similarity - MARGIN)
-                mine = root(joined, row["label"])
-                other = [o for o in (leaders.rows[i] for i in near) if root(joined, o.row["label"]) != mine]
-                for o, s in zip(other, bag.similar(other) if other else [], strict=True):
-                    exact = bag.whole and o.whole
-                    theirs = root(joined, o.row["label"])
-                    if s < similarity - (1e-9 if exact else KEPT_MARGIN) or theirs == mine:
-                        continue
-                    out.append((key[0], row["node"], o.row["node"], *[None] * 4))
-                    if exact and s >= similarity + 1e-9:
-                        joined[theirs] = mine
-                if not any(equal[i] >= SURELY and leaders.rows[i].row["label"] == row["label"] for i in near):
-                    leaders.add(drawn, bag)
-                    out.append((key[0], row["node"], None, *[row[c] for c in payload]))
-            columns = list(zip(*out, strict=True)) or [()] * 7
-            kinds = [pa.int64(), *[pa.binary()] * 6]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["band", "a", "b", *payload])
-
-    schema = "band long, a binary, b binary, label binary, samples binary, numbers binary, weights binary"
-    return _sorted(rows, by).mapInArrow(find, schema)
-
-
-def links_between(nodes: DataFrame, label: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
-    """Pairs of nodes (a, b) of different classes that may be links; each pair of classes has few."""
+                bag = _Bag(row)
+                equal = leaders.equal(bag.drawn)
+                families = [leaders.rows[i] for i in np.flatnonzero(equal >= maybe - 1 + np.array(least))]
+                others = [o for f in families if classes.of(f[0]) != classes.of(bag) for o in f]
+                if others:
+                    drawn = np.stack([o.drawn for o in others])
+                    others = [others[i] for i in np.flatnonzero((drawn == bag.drawn).sum(axis=1) >= maybe * SAMPLES)]
+                    out += [(key[0], row["node"], o.row["node"], None, None) for o in classes.links(bag, others, similarity)]
+                own = [i for i in np.flatnonzero(equal >= SURELY) if leaders.rows[i][0].row["label"] == row["label"]]
+                if own:
+                    at = max(own, key=lambda i: equal[i])
+                    leaders.rows[at].append(bag)
+                    least[at] = min(least[at], equal[at])
+                    if row["n"] >= many:
+                        out.append((key[0], row["node"], None, leaders.rows[at][0].row["node"], None))
+                else:
+                    leaders.add(bag.drawn, [bag])
+                    least.append(1.0)
+            yield _apart_rows(out)
+        yield from led()
+
+    return _sorted(rows, by).mapInArrow(find, APART)
+
+
+def _meeting(leaders: DataFrame, similarity: float) -> DataFrame:
+    """In bands that were searched in parts: pairs of leaders of different parts that may be a link (a, b); and leaders
+    (a) with the ``part`` and ``label`` of another leader, where nodes that either of the two stands for may be a link.
+    The leader with the nodes most like it comes as the guest of the other's part."""
+    maybe = similarity - MARGIN - 1e-9
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, seen, least, parts, classes, guests = None, _Leaders(), [], [], _Classes(), set()
+        for key, members in _groups(batches, ["band"]):
+            if key != group:
+                group, seen, least, parts, classes, guests = key, _Leaders(), [], [], _Classes(), set()
+            out = []
+            for row in members:
+                bag = _Bag(row)
+                equal = seen.equal(bag.drawn)
+                apart = np.array(parts, np.int64) != row["part"]
+                near = [seen.rows[i] for i in np.flatnonzero((equal >= maybe) & apart)]
+                out += [(key[0], row["node"], o.row["node"], None, None) for o in classes.links(bag, near, similarity)]
+                # of two leaders that stand for themselves alone all has been compared
+                wide = (np.array(least) + row["least"] < 2) & (equal >= maybe - 2 + np.array(least) + row["least"]) & apart
+                for o in (seen.rows[i] for i in np.flatnonzero(wide)):
+                    if classes.of(o) != classes.of(bag):
+                        guest, home = (row, o.row) if row["least"] >= o.row["least"] else (o.row, row)
+                        met = (guest["node"], home["part"], home["label"])
+                        if met not in guests:
+                            guests.add(met)
+                            out.append((key[0], guest["node"], None, *met[1:]))
+                seen.add(bag.drawn, bag)
+                least.append(row["least"])
+                parts.append(row["part"])
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["band", "a", "b", "part", "label"])
+
+    return _sorted(leaders, ["band"]).mapInArrow(find, "band long, a binary, b binary, part long, label binary")
+
+
+def links_of_guests(guests: DataFrame, families: DataFrame, kept: DataFrame, label: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes of different parts of a band that may be a link, of classes that are still apart.
+
+    The nodes a guest stands for go to the parts it is a guest of; a task holds one part."""
+    spark = guests.sparkSession
+    maybe = similarity - MARGIN - 1e-9
+    for name, c in (("mine", "a"), ("theirs", "label")):
+        guests = guests.join(label.select(F.col("node").alias(c), F.col("label").alias(name)), c, "left").withColumn(name, F.coalesce(name, c))
+    guests = written(guests.where("mine != theirs").select("band", "a", "part").distinct(), new_work_dir(spark, "guests"))
+    member = families.select("band", "leader", F.col("a").alias("node"), "part")
+    moved = guests.withColumnRenamed("a", "leader").join(member.drop("part"), ["band", "leader"])
+    home = member.join(guests.select("band", "part").distinct(), ["band", "part"], "left_semi")
+    rows = home.select("band", "part", "node", F.lit(False).alias("guest"))
+    rows = rows.union(moved.select("band", "part", "node", F.lit(True).alias("guest")))
+    renamed = kept.drop("label").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, here, classes = None, _Leaders(), _Classes()
+        for key, members in _groups(batches, ["band", "part"]):
+            if key != group:
+                group, here, classes = key, _Leaders(), _Classes()
+            out = []
+            for row in members:
+                bag = _Bag(row)
+                if row["guest"]:
+                    near = [here.rows[i] for i in np.flatnonzero(here.equal(bag.drawn) >= maybe)]
+                    out += [(row["node"], o.row["node"]) for o in classes.links(bag, near, similarity)]
+                else:
+                    here.add(bag.drawn, bag)
+            columns = list(zip(*out, strict=True)) or [()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["a", "b"])
+
+    rows = rows.join(renamed, "node").repartition("band", "part").sortWithinPartitions("band", "part", "guest")
+    return written(_undirected(rows.mapInArrow(find, "a binary, b binary")), new_work_dir(spark, "pairs"))
+
+
+def links_between(nodes: DataFrame, label: DataFrame, texts: DataFrame, idf, similarity: float) -> tuple[DataFrame, tuple[DataFrame, ...] | None]:
+    """Pairs of nodes (a, b) of different classes that may be links: of two nodes of a band that have enough samples in
+    common, and are not in one class by other links of the band, every pair; but for those that
+    :func:`links_of_guests` is to find from the tables that come second."""
     spark = nodes.sparkSession
     named = nodes.join(texts.select("node"), "node").join(label, "node", "left")
     named = named.select("node", "bands", "samples", F.coalesce("label", "node").alias("label"))
@@ -353,12 +479,16 @@ def links_between(nodes: DataFrame, label: DataFrame, texts: DataFrame, idf, sim
     some = places.select("node").distinct()
     kept = _shingles(texts.join(some, "node", "left_semi"), idf)
     kept = written(kept.join(named.drop("bands"), "node"), new_work_dir(spark, "shingles"))
-    rows = places.join(kept, "node").withColumn("part", F.expr(f"pmod(xxhash64(node), 1 + n div {PART})"))
+    part = F.expr(f"pmod(xxhash64(node), 1 + n div {PART})").alias("part")
+    rows = places.join(kept, "node").select("*", part)
     found = written(_search_apart(rows, ["band", "part"], similarity), new_work_dir(spark, "apart"))
-    big = shared.where(F.col("n") >= PART).select("band")
-    leaders = found.where("b IS NULL").join(big, "band", "left_semi").drop("b").withColumnRenamed("a", "node")
-    pairs = found.unionByName(_search_apart(leaders, ["band"], similarity)).where("b IS NOT NULL")
-    return written(_undirected(pairs), new_work_dir(spark, "pairs"))
+    families = found.where("b IS NULL").withColumn("node", F.col("a")).join(shared, "band").select("band", "a", "leader", "least", part)
+    leaders = families.where("least IS NOT NULL").select("band", F.col("a").alias("node"), "least", "part").join(kept, "node")
+    met = written(_meeting(leaders, similarity), new_work_dir(spark, "met"))
+    pairs = found.where("b IS NOT NULL").select("a", "b").union(met.where("b IS NOT NULL").select("a", "b"))
+    guests = met.where("b IS NULL")
+    later = None if guests.isEmpty() else (guests.drop("b"), families, kept)
+    return written(_undirected(pairs), new_work_dir(spark, "pairs")), later
 
 
 def _undirected(pairs: DataFrame) -> DataFrame:
@@ -414,6 +544,12 @@ def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     return written(moved.union(alone), new_work_dir(label.sparkSession, "labels"))
 
 
+def _linked(label: DataFrame, pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
+    """Labels after those of the pairs that are links."""
+    links = written(_verify(pairs, texts, idf), new_work_dir(label.sparkSession, "verified")).where(F.col("similarity") >= similarity)
+    return label if links.isEmpty() else _joined(label, links)
+
+
 def near_duplicates(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", similarity: float = 0.8
 ) -> DataFrame:
@@ -425,22 +561,22 @@ def near_duplicates(
     sketches = written(_sketches(read, idf), new_work_dir(spark, "sketches"))
     nodes = sketches.groupBy("node").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples"))
     nodes = written(nodes, new_work_dir(spark, "nodes"))
-    pairs = candidates(nodes, similarity - MARGIN)
-    involved = pairs.select(F.col("a").alias("node")).union(pairs.where("b IS NOT NULL").select("b")).distinct()
+    pairs = candidates(nodes, similarity - FIRST_MARGIN)
+    in_band = nodes.select("node", F.explode("bands").alias("band"))
+    involved = in_band.join(in_band.groupBy("band").count().where("count > 1").select("band"), "band").select("node").distinct()
     row_of = sketches.groupBy("node").agg(F.min(F.struct(ID, KEY)).alias("row")).join(involved, "node").select("node", "row.*")
     chosen = row_of.alias("r").join(read.alias("d"), F.expr(f"r.{ID} <=> d.{ID} AND r.{KEY} = d.{KEY}"))
     texts = written(chosen.select("node", "d.text").dropDuplicates(["node"]), new_work_dir(spark, "texts"))
 
     # first the best pair of each node, then what may link the classes this makes
-    best = pairs.where("b IS NOT NULL").groupBy("a").agg(F.max(F.struct("equal", "b")).alias("best"))
+    best = pairs.groupBy("a").agg(F.max(F.struct("equal", "b")).alias("best"))
     first = _undirected(best.select("a", "best.b"))
-    checked = [written(_verify(first, texts, idf), new_work_dir(spark, "verified"))]
-    links = checked[0].where(F.col("similarity") >= similarity)
-    label = components(links)
-    rest = links_between(nodes, label, texts, idf, similarity)
-    checked.append(written(_verify(rest, texts, idf), new_work_dir(spark, "verified")))
-    if checked[1].where(F.col("similarity") >= similarity).limit(1).count():
-        label = _joined(label, checked[1].where(F.col("similarity") >= similarity))
+    checked = written(_verify(first, texts, idf), new_work_dir(spark, "verified"))
+    label = components(checked.where(F.col("similarity") >= similarity))
+    rest, later = links_between(nodes, label, texts, idf, similarity)
+    label = _linked(label, rest, texts, idf, similarity)
+    if later is not None:
+        label = _linked(label, links_of_guests(*later, label, similarity), texts, idf, similarity)
     classed = sketches.select(ID, KEY, "node").join(label, "node", "left").select(ID, KEY, F.coalesce("label", "node").alias("class"))
     classed = written(classed, new_work_dir(spark, "classes"))
     heads = classed.groupBy("class").agg(F.min(F.struct(ID, KEY)).alias("head"), F.count(F.lit(1)).alias("class_size"))

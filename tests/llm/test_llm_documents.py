@@ -284,6 +284,48 @@ def test_bands_of_many_nodes(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in minhash.classes(frame).collect()} == similar_classes(spark, docs)
 
 
+
+def between(spark, texts, of_class):
+    """Links between given classes, one band per group of texts (group, place in it)."""
+    frame = spark.createDataFrame([(i, bytearray([*divmod(i, 256)]), t) for i, t in enumerate(texts)], "__id long, __row_key binary, text string")
+    idf = spark.sparkContext.broadcast(minhash.document_frequencies(frame.select("text")))
+    sketches = minhash._sketches(frame, idf).toPandas()
+    nodes, labels, with_text, number = [], [], [], {}
+    for r in sketches.itertuples():
+        band, label = of_class(r[1])
+        node = bytes(r.node)
+        number[node] = r[1]
+        nodes.append((node, [band], bytes(r.samples)))
+        labels.append((node, label.encode()))
+        with_text.append((node, texts[r[1]]))
+    label = spark.createDataFrame(labels, "node binary, label binary")
+    frame = spark.createDataFrame(nodes, "node binary, bands array<long>, samples binary")
+    pairs, later = minhash.links_between(frame, label, spark.createDataFrame(with_text, "node binary, text string"), idf, 0.8)
+    if later is not None:
+        pairs = pairs.union(minhash.links_of_guests(*later, label, 0.8))
+    return {tuple(sorted((number[bytes(a)], number[bytes(b)]))) for a, b in pairs.collect()}
+
+
+@pytest.mark.parametrize("part", [1000, 1])
+def test_links_of_nodes_others_stand_for(spark, monkeypatch, part):
+    monkeypatch.setattr(minhash, "PART", part)
+    texts, want = [], set()
+    for g in range(60):  # the second is like the first, of its class, and like the third; the first and third are no link
+        words = prose(3000 + g, 200)
+        for edits in ((), (10, 60, 110), (10, 60, 110, 30, 80, 130)):
+            texts.append(" ".join(f"edit{g}x{i}" if i in edits else w for i, w in enumerate(words)))
+        want.add((3 * g + 1, 3 * g + 2))
+    assert between(spark, texts, lambda i: (i // 3, f"{i // 3}-{i % 3 // 2}")) >= want
+
+
+def test_links_of_texts_with_a_heavy_shingle(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "KEPT", 64)
+    texts = []
+    for g in range(40):  # most of the weight is that of what is repeated, the rest has little in common
+        heavy = prose(5000 + g, 5) * 400
+        texts += [" ".join(heavy + prose(6000 + 2 * g + i, 180)) for i in (0, 1)]
+    assert between(spark, texts, lambda i: (i // 2, str(i))) == {(2 * g, 2 * g + 1) for g in range(40)}
+
 @pytest.mark.parametrize("kept", [256, 64])
 def test_copies_unlike_each_other(spark, monkeypatch, kept):
     monkeypatch.setattr(minhash, "PART", 20)
