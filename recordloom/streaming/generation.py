@@ -36,12 +36,12 @@ def stream_generation(
     A prompt that comes again is not answered again: its key is in the state of the stream. The prompts of a
     micro-batch are written down in slices of bounded size before any is answered, and the calls of a slice when all
     have been made, so a micro-batch that is repeated after a restart calls the model for unfinished slices only.
-    Under ``out``: ``calls/<micro-batch>/job=<slice>`` and ``records/micro_batch=<number>`` (target_id, pos, the fields,
+    Under ``out``: ``calls/<micro-batch>/jobs=<first slice>-<last>`` and ``records/micro_batch=<number>`` (target_id, pos, the fields,
     hash), whose repeated writing changes nothing.
     """
     params = params or RunParams()
     spark = prompts.sparkSession
-    flight = concurrency or spark.sparkContext.defaultParallelism
+    answers = Slices(spark, concurrency or spark.sparkContext.defaultParallelism, prompts_per_task)
 
     def answer(batch: DataFrame, number: int) -> None:
         asked_at = f"{out}/asked/{number}"
@@ -50,18 +50,18 @@ def stream_generation(
             batch.write.format("noop").mode("overwrite").save()
         else:
             kept = written(batch, f"{out}/arrived/{number}")
-            jobs = max(1, -(-kept.count() // (flight * prompts_per_task)))
-            written(kept.withColumn("job", F.expr(f"pmod(xxhash64({KEY}), {jobs})")), asked_at, ["job"])
+            jobs = max(1, -(-kept.count() // answers.per_job))
+            written(kept.withColumn("job", F.expr(f"pmod(xxhash64({KEY}), {jobs})")).repartition("job"), asked_at, ["job"])
         # a micro-batch of nothing new leaves no file to read the columns from
         asked = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("job", T.LongType())])).parquet(asked_at)
-        parts = []
-        for job in sorted(r.job for r in asked.select("job").distinct().collect()):  # slices of bounded size, one after the other
-            slice_ = asked.where(F.col("job") == job).drop("job")
-            parts.append(f"{out}/calls/{number}/job={job}")
-            written_once(
-                lambda: generate(slice_, model_fn, params.max_retries, params.retry_delay, (KEY,), flight, system=system_prompt(spec), params=params),  # noqa: B023
-                parts[-1],
-            )
+        parts = answers.answer(
+            asked,
+            f"{out}/calls/{number}",
+            lambda slices, tasks: generate(
+                asked.where(slices).drop("job"), model_fn, params.max_retries, params.retry_delay, (KEY,), tasks,
+                system=system_prompt(spec), params=params,
+            ),
+        )
         if not parts:
             return
         decided = resolve_attempts(spark.read.parquet(*parts), params.max_retries, (KEY,))
