@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from recordloom.sources.files import read_csv_docs, read_html_docs, read_json_do
 from workloads.documents import sql_clean, sql_page_text, sql_page_title
 from workloads.fixtures import table, write_files
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROWS_PER_FILE = 50
@@ -113,10 +117,20 @@ def json_array_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_dir(spark, "array")
     items = _line_items(spark, sf_dir).select(F.struct("l_orderkey", F.struct("note", F.array("l_linenumber").alias("at")).alias("of")).alias("item"))
     line = F.to_json("item", {"ignoreNullFields": "false"})
-    # lines of one file: an opening bracket, elements with a comma behind each, a last one and the closing bracket
-    lines = items.select(F.lit(1).alias("place"), F.concat(F.lit(" "), line, F.lit(",")).alias("value"))
-    ends = spark.createDataFrame([(0, "["), (2, '{"l_orderkey":0,"of":{"note":"]","at":[]}}]')], "place int, value string")
-    lines.unionByName(ends).repartition(1).sortWithinPartitions("place").select("value").write.text(path)
+    lines = items.select(F.concat(F.lit(" "), line, F.lit(",")).alias("value"))
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Lines of one file as they come: an opening bracket, elements with a comma behind each, a last one and the end."""
+        import pyarrow as pa
+
+        def one(value: str) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([value], pa.string())], names=["value"])
+
+        yield one("[")
+        yield from batches
+        yield one('{"l_orderkey":0,"of":{"note":"]","at":[]}}]')
+
+    lines.repartition(1).mapInArrow(bracketed, "value string").write.text(path)
     return read_json_docs(spark, path, "$[*].of", split=True).select("text")
 
 
