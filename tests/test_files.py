@@ -19,6 +19,8 @@ from recordloom.sources.files import (
     parquet_to_docs,
     read_text_docs,
 )
+from workloads import files
+from workloads.fixtures import write_files
 
 
 def put(folder, **files):
@@ -283,3 +285,25 @@ def test_encodings_only_python_has(spark, tmp_path):
     for name, text in (("cp1252", "naïve €"), ("gb18030", "漢字"), ("shift_jis", "テキスト"), ("utf-8-sig", "bom")):
         (tmp_path / f"{name}.txt").write_bytes(text.encode(name))
         assert [r.text for r in read_text_docs(spark, f"{tmp_path}/{name}.txt", name).collect()] == [text]
+
+
+def test_json_array_is_written_without_a_sort(spark, monkeypatch):
+    """All lines of the array come to one task, which passes them on and holds none."""
+    monkeypatch.setattr(type(spark.range(1)), "sortWithinPartitions", None)
+    got = files.json_array_docs(spark, "/root/testdata/sf0.001")
+    assert got.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count() + 1
+    assert got.where("text IS NULL").count() == 0 and got.where("""text = '{"note":"]","at":[]}'""").count() == 1
+
+
+def test_files_of_a_single_partition_are_written_by_many_tasks(spark):
+    rows = spark.range(200).coalesce(1).select(F.concat(F.lit("f-"), "id", F.lit(".txt")).alias("name"), F.col("id").cast("string").alias("content"))
+    context, group = spark.sparkContext, "files-by-many-tasks"
+    context.setJobGroup(group, group)
+    try:
+        folder = write_files(rows, "many")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = {stage for job in tracker.getJobIdsForGroup(group) for stage in tracker.getJobInfo(job).stageIds}
+    assert max(tracker.getStageInfo(stage).numTasks for stage in stages if tracker.getStageInfo(stage)) > 1
+    assert len(os.listdir(folder.removeprefix("file://"))) == 200
