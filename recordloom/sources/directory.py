@@ -27,6 +27,7 @@ from recordloom.sources.files import (
     parquet_to_docs,
     read_text_docs,
 )
+from recordloom.sources.listing import extension_of, list_folders, local_folders
 
 # The look at Parquet footers goes to the executors as it is.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -71,12 +72,6 @@ class ReadOptions:
     parquet: dict[str, Any] = field(default_factory=dict)
 
 
-def extension_of(path: Column) -> Column:
-    """Lower-case extension of a path with its dot, or an empty string."""
-    name = F.substring_index(path, "/", -1)
-    return F.lower(F.regexp_extract(name, r".(\.[^.]+)$", 1))
-
-
 def _extension_of_name(path: str) -> str:
     name = path.rstrip("/").rsplit("/", 1)[-1]
     stem, dot, ending = name.rpartition(".")
@@ -104,7 +99,7 @@ def _status(spark: SparkSession, path: str) -> tuple[str, str] | None:
 
 
 def _read_kind(
-    spark: SparkSession, kind: str, paths: str | Sequence[str], how: ReadOptions, options: dict[str, str]
+    spark: SparkSession, kind: str, paths: str | Sequence[str] | DataFrame, how: ReadOptions, options: dict[str, str]
 ) -> DataFrame:
     if kind == "text":
         return read_text_docs(spark, paths, how.encoding, options=options)
@@ -131,13 +126,17 @@ def _check_policy(unsupported: str) -> None:
 
 def list_files(spark: SparkSession, path: str | Sequence[str], recursive: bool = False, glob: str | None = None) -> DataFrame:
     """``(source, extension, length)`` of the files of a folder; contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load([path] if isinstance(path, str) else list(path))
-        .select("path", "length")
-        .select(one_spelling(F.col("path")).alias("source"), extension_of(F.col("path")).alias("extension"), "length")
-    )
+    folders = local_folders(spark, path)
+    if folders:
+        files = list_folders(spark, folders, recursive)
+    else:
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", str(recursive).lower())
+            .load([path] if isinstance(path, str) else list(path))
+            .select("path", "length")
+            .select(one_spelling(F.col("path")).alias("source"), extension_of(F.col("path")).alias("extension"), "length")
+        )
     return files if glob is None else files.where(_matches(F.col("source"), glob))
 
 
@@ -212,7 +211,7 @@ def read_documents(
 ) -> tuple[DataFrame, DataFrame]:
     """Documents of a file or folder, and the quarantine of files that were not read.
 
-    Each kind of file is read by one scan over the folder (Parquet: one per set of columns). ``unsupported`` says
+    The folder is listed once; each kind of file is read by one scan (Parquet: one per set of columns). ``unsupported`` says
     what becomes of other files: read as ``text`` (parser formats excepted), ``error``, or ``quarantine``, whose
     rows are ``(source, extension, length, reason)``; Parquet files that cannot be read are there too.
     """
@@ -242,8 +241,12 @@ def read_documents(
 def _read_folders(
     spark: SparkSession, paths: Sequence[str], recursive: bool, glob: str | None, unsupported: str, how: ReadOptions
 ) -> tuple[DataFrame, DataFrame, set[str], list[tuple[str, str]]]:
-    """Documents of folders, their files, the extensions found, and the files that cannot be read."""
+    """Documents of folders, their files, the extensions found, and the files that cannot be read.
+
+    Local folders are listed once, by tasks; scans of others list them again for each kind.
+    """
     listed = list_files(spark, paths, recursive, glob)
+    by_tasks = local_folders(spark, paths) is not None
     # At most one row per known extension comes back, plus one for all others.
     label = F.when(F.col("extension").isin(*EXTENSIONS), F.col("extension")).otherwise(F.lit("other"))
     labels = {r.label for r in listed.select(label.alias("label")).distinct().collect()}
@@ -258,9 +261,14 @@ def _read_folders(
         if kind == "parquet":
             tables, errors = _read_tables(spark, listed.where(F.col("extension").isin(*extensions)), how)
             frames += tables
+        elif by_tasks:
+            frames.append(_read_kind(spark, kind, listed.where(F.col("extension").isin(*extensions)), how, {}))
         else:
             frames.append(_read_kind(spark, kind, paths, how, {**folder, "pathGlobFilter": _glob_of(extensions)}))
-    if "other" in labels and unsupported == "text":
+    if "other" in labels and unsupported == "text" and by_tasks:
+        others = listed.where(~F.col("extension").isin(*EXTENSIONS, *BINARY_EXTENSIONS))
+        frames.append(read_text_docs(spark, others, how.encoding))
+    elif "other" in labels and unsupported == "text":
         ending = extension_of(F.col("source"))
         everything = read_text_docs(spark, paths, how.encoding, options=folder)
         frames.append(everything.where(~ending.isin(*EXTENSIONS, *BINARY_EXTENSIONS)))

@@ -2,6 +2,9 @@
 
 Every reader returns ``source STRING, row BIGINT, text STRING, metadata MAP<STRING,STRING>``. ``row`` is 0
 for one-document files, the row number for Parquet, and elsewhere a number that grows in file order.
+
+Readers of text, HTML, JSON and CSV files also take a table of files as ``paths``, such as
+:func:`recordloom.sources.listing.list_folders` makes, which tasks open.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from recordloom.functions.text import (
 )
 from recordloom.operators.once import computed_once
 from recordloom.session import prepare
+from recordloom.sources import listing
 from recordloom.sources.cutting import CsvRows, JsonElements, pieces_of, records
 
 # The decoding of other encodings goes to the executors as it is.
@@ -94,22 +98,31 @@ def _metadata(**entries: Column) -> Column:
 
 
 def _whole_files(
-    spark: SparkSession, paths: str | Sequence[str], encoding: str, options: dict[str, str] | None
+    spark: SparkSession, paths: str | Sequence[str] | DataFrame, encoding: str, options: dict[str, str] | None
 ) -> DataFrame:
     """``(source, content)``, one row per file."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
     charset = spark_encoding(encoding)
-    if charset == "UTF-8":
-        files = spark.read.options(**(options or {})).text(paths, wholetext=True)
+    listed = paths if isinstance(paths, DataFrame) else listing.listed_folder(spark, paths, options)
+
+    def texts(named: list[str]) -> DataFrame:
+        files = spark.read.options(**(options or {})).text(named, wholetext=True)
         return files.select(file_path().alias("source"), F.col("value").alias("content"))
-    files = spark.read.format("binaryFile").options(**(options or {})).load(paths)
+
+    if listed is None:
+        paths = [paths] if isinstance(paths, str) else list(paths)
+    if charset == "UTF-8":
+        return texts(paths) if listed is None else listing.texts(listed, texts)
+    if listed is None:
+        files = spark.read.format("binaryFile").options(**(options or {})).load(paths).withColumn("source", one_spelling(F.col("path")))
+    else:
+        files = listing.contents(listed)
     text = F.decode("content", charset) if charset else _decoded(encoding)("content")
-    return files.select(one_spelling(F.col("path")).alias("source"), text.alias("content"))
+    return files.select("source", text.alias("content"))
 
 
 def read_text_docs(
     spark: SparkSession,
-    paths: str | Sequence[str],
+    paths: str | Sequence[str] | DataFrame,
     encoding: str = "utf-8",
     clean: bool = False,
     markup: bool = False,
@@ -145,7 +158,10 @@ def _with_visible_text(rows: DataFrame, markup: str, title: str | None = None) -
 
 
 def read_html_docs(
-    spark: SparkSession, paths: str | Sequence[str], encoding: str = "utf-8", options: dict[str, str] | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str] | DataFrame,
+    encoding: str = "utf-8",
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """One document per page: visible text, with the title in the metadata."""
     return _page_documents(_whole_files(spark, paths, encoding, options), "source", "content")
@@ -187,7 +203,7 @@ def _files_by_header(spark: SparkSession, paths: Sequence[str], options: dict[st
 
 def read_csv_docs(
     spark: SparkSession,
-    paths: str | Sequence[str],
+    paths: str | Sequence[str] | DataFrame,
     sep: str = ",",
     quote: str = '"',
     encoding: str = "utf-8",
@@ -204,9 +220,15 @@ def read_csv_docs(
     task; turn it off for large files without them.
 
     ``split`` reads large files in many tasks, line breaks in values or not (see :mod:`recordloom.sources.cutting`), and
-    gives the same rows; every file has its own header, and ``row`` counts from 0 in each file. UTF-8 only.
+    gives the same rows; every file has its own header, and ``row`` counts from 0 in each file. UTF-8 only. Files of a
+    table with ``mixed_headers`` are read that way, too.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    if isinstance(paths, DataFrame):
+        split = split or (mixed_headers and multi_line and spark_encoding(encoding) in ("UTF-8", "US-ASCII"))
+        if not split:
+            paths = listing.names_of(paths)
+    else:
+        paths = [paths] if isinstance(paths, str) else list(paths)
     if split:
         if spark_encoding(encoding) not in ("UTF-8", "US-ASCII"):
             raise ConfigurationError("CSV files are read in splits as UTF-8")
@@ -246,13 +268,24 @@ def read_csv_docs(
     )
 
 
+def _pieces(spark: SparkSession, paths: str | Sequence[str] | DataFrame, cutter, options: dict[str, str] | None) -> DataFrame:
+    """``(file, block, value)`` of files that are cut; small ones of a table are a single split."""
+
+    def by_spark(named: str | Sequence[str]) -> DataFrame:
+        return pieces_of(spark, named, cutter, file_path(), options)
+
+    if not isinstance(paths, DataFrame):
+        return by_spark(paths)
+    return listing.lines(paths, by_spark, cutter.separator)
+
+
 #: Headers that are sent to every task; beyond that number rows are joined with them by a shuffle.
 BROADCAST_HEADERS = 10_000
 
 
-def _split_csv_docs(spark: SparkSession, paths: Sequence[str], sep: str, quote: str, options: dict[str, str] | None) -> DataFrame:
+def _split_csv_docs(spark: SparkSession, paths: Sequence[str] | DataFrame, sep: str, quote: str, options: dict[str, str] | None) -> DataFrame:
     """Rows of CSV files that are read in splits; no name of a file or column comes to the driver."""
-    found, splits = records(pieces_of(spark, paths, CsvRows(sep, quote), file_path(), options), CsvRows(sep, quote))
+    found, splits = records(_pieces(spark, paths, CsvRows(sep, quote), options), CsvRows(sep, quote))
     if splits.where("block = 0 AND names IS NULL AND ends_open").limit(1).count():
         raise LoaderError("a header with line breaks is longer than a split (spark.sql.files.maxPartitionBytes)")
     headers = splits.where("names IS NOT NULL").select("head", "names", "crlf").dropDuplicates(["head"])
@@ -318,7 +351,7 @@ def _json_documents(texts: DataFrame, path: str) -> DataFrame:
 
 def read_json_docs(
     spark: SparkSession,
-    paths: str | Sequence[str],
+    paths: str | Sequence[str] | DataFrame,
     path: str = "$",
     lines: bool = False,
     encoding: str = "utf-8",
@@ -340,16 +373,22 @@ def read_json_docs(
         return _json_documents(texts, path)
     if spark_encoding(encoding) != "UTF-8":
         raise ConfigurationError("JSON Lines are read as UTF-8")
-    content = spark.read.options(**(options or {})).text([paths] if isinstance(paths, str) else list(paths))
-    texts = content.select(
-        file_path().alias("source"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("content")
-    )
+
+    def content(named: list[str]) -> DataFrame:
+        read = spark.read.options(**(options or {})).text(named)
+        return read.select(file_path().alias("file"), F.lit(0).cast("bigint").alias("block"), "value")
+
+    if isinstance(paths, DataFrame):
+        rows = listing.lines(paths, content)
+    else:
+        rows = content([paths] if isinstance(paths, str) else list(paths))
+    texts = rows.select(F.col("file").alias("source"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("content"))
     return _json_documents(texts.where(strip(F.col("content")) != ""), path)
 
 
-def _split_json_docs(spark: SparkSession, paths: str | Sequence[str], tail: str, options: dict[str, str] | None) -> DataFrame:
+def _split_json_docs(spark: SparkSession, paths: str | Sequence[str] | DataFrame, tail: str, options: dict[str, str] | None) -> DataFrame:
     """Documents of the elements of JSON arrays that are read in splits."""
-    found, _ = records(pieces_of(spark, paths, JsonElements(), file_path(), options), JsonElements())
+    found, _ = records(_pieces(spark, paths, JsonElements(), options), JsonElements())
     text = F.when(F.col("number") == 0, F.regexp_replace("text", r"^\s*\[", "")).otherwise(F.col("text"))
     text = F.when(F.col("last"), F.regexp_replace(text, r"\]\s*$", "")).otherwise(text)
     elements = found.select(F.col("file").alias("source"), F.col("number").alias("row"), "last", text.alias("content"))
