@@ -61,7 +61,10 @@ def per_worker(key: Hashable, make: Callable):
     """
     state = vars(sys.modules.setdefault("recordloom_worker", types.ModuleType("recordloom_worker")))
     if state.get("key") != key:
-        state["key"], state["kept"] = key, make()
+        state["key"] = state["kept"] = None  # the old one goes before the new one is made
+        give_back()
+        state["kept"] = make()
+        state["key"] = key
     return state["kept"]
 
 

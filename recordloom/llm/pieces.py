@@ -35,7 +35,7 @@ UNKNOWN_PENALTY = 10.0
 #: Cells (characters of words) searched together.
 CELLS = 1 << 17
 #: Bytes of text encoded together, and words remembered by a worker.
-STEP, REMEMBERED = 2 << 20, 1 << 20
+STEP, REMEMBERED = 1 << 19, 1 << 20
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
