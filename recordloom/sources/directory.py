@@ -52,6 +52,9 @@ BINARY_EXTENSIONS = (
     ".pdf", ".epub", ".odt", ".rtf", ".doc", ".docx", ".ppt", ".pptx", ".xls", ".xlsx",
 )
 
+#: Named sources that are sent to every task; beyond that number documents are joined with them by a shuffle.
+BROADCAST_PLACES = 10_000
+
 UNSUPPORTED_POLICIES = ("text", "error", "quarantine")
 
 QUARANTINE_SCHEMA = "source string, extension string, length bigint, reason string"
@@ -376,8 +379,11 @@ def read_many(
         own = replace(how, csv={"mixed_headers": True, **how.csv}) if ext == ".csv" else how
         frames.append(_read_files(spark, {ext: paths}, unsupported, own)[0])
     documents = _union(frames, spark, DOCUMENT_SCHEMA)
-    # The caller's own list of paths: as small as the argument.
+    # The caller's own list of paths: as small as the argument. One folder may hold all documents, which a shuffle by
+    # its name would put into one task.
     place = spark.createDataFrame(places, "source_pos int, __uri string")
+    if len(places) <= BROADCAST_PLACES:
+        place = F.broadcast(place)
     reached = documents.withColumn("__uri", F.explode(_folders_above(F.col("source"), recursive)))
     position_of = {uri: position for position, uri in reversed(places)}
     for path, reason in unread:

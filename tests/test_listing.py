@@ -105,3 +105,9 @@ def test_large_files_of_lines_are_left_to_spark(spark, folder, monkeypatch):
     documents, _ = read_documents(spark, folder, how=HOW)
     assert rows(documents, "source", "text") == expected
     assert any(f.endswith(".csv") for f in documents.inputFiles())
+
+
+def test_documents_of_one_folder_are_not_shuffled_to_its_name(spark, folder):
+    documents, _ = read_many(spark, [f"{folder}/deep/er"], how=HOW)
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
