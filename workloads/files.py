@@ -103,9 +103,9 @@ def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_split_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One CSV file of all order lines, read in many tasks, and one of parts with another header."""
+    """CSV files of all order lines, written and read in many tasks, and one of parts with another header."""
     path = new_work_dir(spark, "csv")
-    write_csv(_line_items(spark, sf_dir), f"{path}/lines", files=1)
+    write_csv(_line_items(spark, sf_dir), f"{path}/lines")
     write_csv(_parts(spark, sf_dir), f"{path}/parts", order=["p_partkey"], files=1)
     documents = read_csv_docs(spark, [f"{path}/lines", f"{path}/parts"], split=True)
     place = F.when(F.col("text").startswith("p_partkey"), F.col("row"))  # parts were written in order
