@@ -8,14 +8,33 @@ import numpy as np
 
 from recordloom.llm.arrays import U64, mix, ragged, window_sums
 
-#: One random 64-bit number per byte value, twice: two numbers known of a stretch make 128 bits.
+#: One random 64-bit number per byte value, twice: two numbers known of a long stretch make 120 bits.
 _SEEDS = [mix(np.arange(1 + 256 * i, 257 + 256 * i, dtype=U64) * U64(0x9E3779B97F4A7C15)) for i in (0, 1)]
+#: Bytes of a stretch that its two numbers hold as they are, with its length in the last byte; and masks by length.
+SHORT = 15
+_LOW, _HIGH = (np.array([(1 << 8 * min(max(n - at, 0), 8)) - 1 for n in range(SHORT + 1)], U64) for at in (0, 8))
 
 Learn = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
+def _numbers(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit numbers of each stretch: of up to SHORT bytes no two have the same."""
+    padded = np.append(raw, np.zeros(16, np.uint8))
+    eight = np.ndarray(len(raw) + 9, "<u8", padded, strides=(1,))  # the eight bytes from each on
+    length = ends - starts
+    few = np.minimum(length, SHORT)
+    low, check = eight[starts] & _LOW[few], eight[starts + 8] & _HIGH[few] | length.astype(U64) << U64(56)
+    long = np.flatnonzero(length > SHORT)
+    if len(long):
+        size = length[long]
+        part, stop = raw[ragged(starts[long], size)], np.cumsum(size)
+        low[long], found = (mix(window_sums(seed[part], stop - size, stop) + size.astype(U64)) for seed in _SEEDS)
+        check[long] = found | U64(0xFF << 56)
+    return mix(low ^ check * U64(0x9E3779B97F4A7C15)), check
+
+
 class Remembered:
-    """Ids of stretches of bytes, found by two 64-bit numbers; ``learn`` gives the ids of new ones and their count.
+    """Ids of stretches of bytes, found by two 64-bit numbers (their bytes, if few); ``learn`` gives the ids of new ones and their count.
 
     Entries lie in a table of slots with a step to the next slot where one is taken, so that a look-up sorts nothing.
     """
@@ -75,7 +94,7 @@ class Remembered:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         if self.n > self.limit:
             self._forget()
-        key, check = (mix(window_sums(seed[raw], starts, ends) + (ends - starts).astype(U64)) for seed in _SEEDS)
+        key, check = _numbers(raw, starts, ends)
         entry = self._find(key, check)
         new = np.flatnonzero(entry < 0)
         if len(new):

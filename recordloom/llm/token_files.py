@@ -11,8 +11,8 @@ Files under the path given, all written by Spark:
   lengths (ids per document), payload (the bits, most significant first), checkpoints (the bit at which every
   ``EVERY``-th id begins). A block can be read without any other, and each checkpoint without those before it.
 
-Tokens are found per distinct stretch of text between spaces, which the byte-level pattern never joins; texts
-with other white space than spaces and line ends are tokenised whole.
+Tokens are found per distinct stretch of text, cut where the byte-level pattern always parts it: around white space
+and where words and other signs meet. Texts with other white space than spaces and line ends are tokenised whole.
 
 Defined results: a null text is empty and has the end id only. Documents with a null id come first; those with
 equal ids follow each other in the order of a hash of their text. An empty table gives files without blocks.
@@ -21,6 +21,7 @@ Other columns of the input are not stored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ from recordloom.llm.chunks import Remembered
 from recordloom.session import new_work_dir
 
 MAX_BITS = 18
-BLOCK, EVERY = 1 << 16, 256
+BLOCK, EVERY = 1 << 18, 256
 #: Stretches a worker remembers.
 REMEMBERED = 3 << 19
 #: New stretches the library gets as one text.
@@ -46,6 +47,26 @@ _MAYBE_SPACE = np.zeros(256, bool)
 _MAYBE_SPACE[[9, 11, 12, 13, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 _ODD_SPACE = re.compile(r"[^\S \n]")
 _SIMPLE = re.compile(r" ?[^\s]+")
+# ASCII letters, other ASCII, what of it ends before a letter (no space goes into a word, no quote into 's), and the
+# second bytes of the letters that 0xC3 begins (À to ÿ but × and ÷)
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_OTHER = ~_LETTER & (np.arange(256) < 128)
+_ENDS = _OTHER.copy()
+_ENDS[[32, 39]] = False
+_SECOND = np.zeros(256, bool)
+_SECOND[0x80:0xC0] = True
+_SECOND[[0x97, 0xB7]] = False
+
+# a vocabulary entry (Ċ: line end, Ġ: space, Ã: 0xC3) that goes on from a line end into a word, or into a line end
+_JOINED = re.compile("[^Ċ]Ċ|Ċ[A-Za-zĠÃ]")
+
+
+def _letter_ends(raw: np.ndarray) -> np.ndarray:
+    """The last bytes of the letters A-Z, a-z and À to ÿ."""
+    found = _LETTER[raw]
+    found[1:] |= (raw[:-1] == 0xC3) & _SECOND[raw[1:]]
+    return found
 
 
 class Tokens:
@@ -53,7 +74,7 @@ class Tokens:
 
     def __init__(self, definition: str, special_as_text: bool = False, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = special_as_text
@@ -61,36 +82,51 @@ class Tokens:
         # texts that hold one of them are left to the library as a whole
         self.whole = [t.content.encode() for t in added if not (special_as_text and t.special)]
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        # words between line ends need no pattern, if no merge joins them and nothing else is done to them
+        settings = json.loads(definition)
+        usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        apart = not any(_JOINED.search(t) for t in self.tokenizer.get_vocab(with_added_tokens=False))
+        apart &= not any(w.decode().replace(" ", "").isalpha() for w in self.whole)
+        self.words = None
+        if apart and not settings.get("normalizer") and usual.items() <= (settings.get("pre_tokenizer") or {}).items():
+            self.words = Tokenizer(self.tokenizer.model)
+            self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known = Remembered(self._learn, remembered)
 
+    def _grouped(self, tokenizer, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches that a line end parts, which has an id of its own."""
+        joined = [b"\n".join(stretches[i : i + GROUP]).decode() + "\n" for i in range(0, len(stretches), GROUP)]
+        found = [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, np.int32), *found])
+        ends = np.flatnonzero(ids == self.line_end[0])
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
     def _learn(self, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [s.decode() for s in stretches]
-        simple = np.array([bool(_SIMPLE.fullmatch(t)) for t in texts]) & (len(self.line_end) == 1)
-        for w in self.whole:
-            if any(w in s for s in stretches):
-                simple &= np.array([w not in s for s in stretches])
-        size = np.zeros(len(texts), np.int64)
-        parts: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
-        for i in np.flatnonzero(~simple):
-            parts[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32)
-        some = np.flatnonzero(simple)
-        # a line end parts them and has an id of its own
-        groups = [some[i : i + GROUP] for i in range(0, len(some), GROUP)]
-        joined = ["\n".join([texts[j] for j in g]) for g in groups]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, np.int32)
-            ends = np.append(np.flatnonzero(ids == self.line_end[0]), len(ids))
-            for j, a, b in zip(group.tolist(), np.append(0, ends[:-1] + 1).tolist(), ends.tolist(), strict=True):
-                parts[j] = ids[a:b]
-        size[:] = [len(p) for p in parts]
-        return np.concatenate(parts), size
+        raw = np.frombuffer(b"".join(stretches), np.uint8)
+        length = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        first = np.cumsum(length) - length
+        word = _letter_ends(raw)
+        word[:-1] |= word[1:] & (raw[:-1] == 0xC3)
+        word[first] |= raw[first] == 32
+        # 0: a word, 1: of no white space but a space before it, 2: anything else
+        kind = np.where(np.logical_and.reduceat(word, first) & (self.words is not None), 0, 2)
+        for i in np.flatnonzero(kind).tolist():
+            if len(self.line_end) == 1 and _SIMPLE.fullmatch(stretches[i].decode()) and not any(w in stretches[i] for w in self.whole):
+                kind[i] = 1
+        by_kind = [np.flatnonzero(kind == k).tolist() for k in range(3)]
+        parts = [self._grouped(t, [stretches[i] for i in at]) for t, at in zip((self.words, self.tokenizer), by_kind, strict=False) if at]
+        single = [self.tokenizer.encode(stretches[i].decode(), add_special_tokens=False).ids for i in by_kind[2]]
+        parts.append((np.array([i for s in single for i in s], np.int32), np.array([len(s) for s in single], np.int64)))
+        ids, found = (np.concatenate(p) for p in zip(*parts, strict=True))
+        size, start = np.zeros(len(stretches), np.int64), np.zeros(len(stretches), np.int64)
+        order = np.concatenate([np.array(at, np.int64) for at in by_kind])
+        size[order], start[order] = found, np.cumsum(found) - found
+        return ids[ragged(start, size)], size
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and how many each has."""
         raw, offsets = utf8(column)
-        blank = (raw == 32) | (raw == 10)
-        begin = np.zeros(len(raw), bool)
-        begin[1:] = blank[1:] & ~blank[:-1]
+        begin = self._begins(raw, offsets)
         maybe = np.unique(np.searchsorted(offsets, np.flatnonzero(_MAYBE_SPACE[raw]), side="right") - 1)
         for i in (i for i in maybe.tolist() if _ODD_SPACE.search(column[i].as_py())):
             begin[offsets[i] : offsets[i + 1]] = False
@@ -107,6 +143,25 @@ class Tokens:
         edge = np.append(0, np.cumsum(size))[np.searchsorted(starts, offsets)]
         return ids, np.diff(edge)
 
+    def _begins(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where the pattern always parts a text that has no white space but spaces and line ends.
+
+        White space begins anew behind a word, and so does its last byte before one; a line end is apart from the
+        word behind it. Letters end before other ASCII and, unless it is a space or a quote, begin behind it.
+        """
+        begin = np.zeros(len(raw), bool)
+        if not len(raw):
+            return begin
+        blank, letter = (raw == 32) | (raw == 10), _LETTER[raw]
+        last = blank[:-1] & ~blank[1:]
+        last[(offsets[1:] - 1)[(offsets[1:] > 0) & (offsets[1:] < len(raw))]] = False  # what ends a text stays together
+        begin[:-1] = last
+        begin[1:] |= blank[1:] & ~blank[:-1]
+        begin[1:] |= (raw[:-1] == 10) & ~blank[1:]
+        begin[1:] |= _letter_ends(raw)[:-1] & _OTHER[raw[1:]]
+        begin[1:] |= _ENDS[raw[:-1]] & letter[1:]
+        return begin
+
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
     """Bits of the best prefix code without codes over ``limit`` bits (0 for symbols that do not occur).
@@ -150,8 +205,8 @@ class Code:
         first = np.cumsum(room) - room
         self.codes = np.zeros(len(lengths), U64)
         self.codes[symbols] = (first >> (MAX_BITS - bits)).astype(U64)
-        self.symbol, self.bits = np.zeros(1 << MAX_BITS, np.int32), np.ones(1 << MAX_BITS, np.int64)
-        self.symbol[: room.sum()], self.bits[: room.sum()] = np.repeat(symbols, room), np.repeat(bits, room)
+        self.table = np.ones(1 << MAX_BITS, np.int32)  # symbol and, in the last five bits, how many bits it has
+        self.table[: room.sum()] = np.repeat(symbols << 5 | bits, room)
 
     def pack(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bits of some ids, and where every EVERY-th begins."""
@@ -168,16 +223,16 @@ class Code:
 
     def unpack(self, payload: bytes, checkpoints: np.ndarray, count: int) -> np.ndarray:
         """The ids of one block; all stretches between checkpoints advance together."""
-        padded = np.frombuffer(payload + bytes(8), np.uint8).astype(np.int64)
+        padded = np.frombuffer(payload + bytes(8), np.uint8).astype(np.uint32)
         window = (padded[:-3] << 24) | (padded[1:-2] << 16) | (padded[2:-1] << 8) | padded[3:]
-        at = checkpoints.astype(np.int64).copy()
-        out = np.zeros((len(at), EVERY), np.int32)
+        at = checkpoints.astype(np.int64)
+        out = np.zeros((EVERY, len(at)), np.int32)
         last = len(window) - 1
         for k in range(min(EVERY, count)):
-            entry = (window[np.minimum(at >> 3, last)] >> (32 - MAX_BITS - (at & 7))) & ((1 << MAX_BITS) - 1)
-            out[:, k] = self.symbol[entry]
-            at += self.bits[entry]
-        return out.ravel()[:count]
+            entry = window[np.minimum(at >> 3, last)] << (at & 7).astype(np.uint32) >> np.uint32(32 - MAX_BITS)
+            out[k] = found = self.table[entry]
+            at += found & 31
+        return out.T.ravel()[:count] >> 5
 
 
 def _ranged(read: DataFrame) -> DataFrame:
@@ -197,13 +252,16 @@ def _ranged(read: DataFrame) -> DataFrame:
 
 
 def _tokenise(docs: DataFrame, definition: str, end_id: int, id_column: str, text_column: str) -> DataFrame:
-    """part, row (ascending by id within the part), id, ids (little-endian 32-bit), in the order of the ids."""
+    """part, row (ascending by id within the part), id, ids (little-endian 32-bit), in the order of the ids.
+
+    Each task ends with a row of nulls but for symbol and n: the ids it found, and how often.
+    """
     known = docs.sparkSession.sparkContext.broadcast(definition)
     read = docs.select(F.col(f"`{id_column}`").alias("id"), row_key(id_column, text_column).alias("key"), F.col(f"`{text_column}`").alias("text"))
     ordered = _ranged(read).sortWithinPartitions("id", "key").withColumn("part", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, row = per_worker(("tokens", known.value), lambda: Tokens(known.value)), 0
+        tokens, row, n = per_worker(("tokens", known.value), lambda: Tokens(known.value)), 0, np.zeros(0, np.int64)
         for batch in steps(batches, "text"):
             ids, size = tokens.encode(batch.column("text"))
             full = np.full(len(ids) + len(size), end_id, np.uint32)
@@ -212,20 +270,29 @@ def _tokenise(docs: DataFrame, definition: str, end_id: int, id_column: str, tex
             texts = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(full)])
             rows = pa.array(np.arange(row, row + len(size)))
             row += len(size)
-            yield pa.RecordBatch.from_arrays([batch.column("part"), rows, batch.column("id"), texts.cast(pa.binary())], names=["part", "row", "id", "ids"])
+            more = np.bincount(full, minlength=len(n))
+            more[: len(n)] += n
+            n, kind = more, batch.column("id").type
+            columns = [batch.column("part"), rows, batch.column("id"), texts.cast(pa.binary()), *[pa.nulls(len(size), listed)] * 2]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        if row:
+            some = np.flatnonzero(n)
+            columns = [pa.nulls(1, t) for t in (pa.int32(), pa.int64(), kind, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([some], listed), pa.array([n[some]], listed)], names=names)
 
     schema = T.StructType().add("part", "integer").add("row", "long").add("id", read.schema["id"].dataType).add("ids", "binary")
+    schema = schema.add("symbol", T.ArrayType(T.LongType())).add("n", T.ArrayType(T.LongType()))
+    names, listed = schema.names, pa.list_(pa.int64())
     return ordered.mapInArrow(run, schema)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each symbol once, with the sum of its counts."""
     found = np.zeros(0, np.int64)
     for batch in batches:
-        for i in range(0, batch.num_rows, 512):
-            ids = np.frombuffer(b"".join(batch.column("ids").slice(i, 512).to_pylist()), np.uint32)
-            got = np.bincount(ids, minlength=len(found))
-            got[: len(found)] += found
-            found = got
+        symbol, n = (batch.column(c).flatten().to_numpy() for c in ("symbol", "n"))
+        found = np.append(found, np.zeros(max(int(symbol.max(initial=-1)) + 1 - len(found), 0), np.int64))
+        np.add.at(found, symbol, n)
     some = np.flatnonzero(found)
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], names=["symbol", "n"])
 
@@ -246,9 +313,9 @@ def write_tokens(
     tokenised = _tokenise(docs, definition, end_id, id_column, text_column)
     tokens_at = new_work_dir(spark, "tokens")
     tokenised.write.option("compression", "zstd").parquet(tokens_at)
-    tokens = spark.read.schema(tokenised.schema).parquet(tokens_at)
-    counts = tokens.select("ids").mapInArrow(_count, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
-    table = counts.toArrow()  # as many rows as the vocabulary has ids
+    found = spark.read.schema(tokenised.schema).parquet(tokens_at)
+    counts = found.where("row IS NULL").select("symbol", "n").mapInArrow(_added, "symbol long, n long")
+    table = counts.groupBy("symbol").agg(F.sum("n").alias("n")).toArrow()  # as many rows as the vocabulary has ids
     symbols, n = table["symbol"].to_numpy(), table["n"].to_numpy()
     every = np.zeros(int(symbols.max(initial=0)) + 1, np.int64)
     every[symbols] = n
@@ -257,6 +324,7 @@ def write_tokens(
     rows = pa.table({"symbol": pa.array(used), "bits": pa.array(lengths[used])})
     spark.createDataFrame(rows, "symbol long, bits long").coalesce(1).write.parquet(f"{path}/code")
     code = spark.sparkContext.broadcast(Code(lengths))
+    tokens = found.where("row IS NOT NULL").select("part", "row", "id", "ids")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, object, bytes]] = []

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from recordloom.llm import neighbours, pieces, tag_paths, token_files, url_trust
+from recordloom.llm import chunks, neighbours, pieces, tag_paths, token_files, url_trust
 from recordloom.llm.queries import BYTES, END, PIECES, RULES
 
 TEXTS = [
@@ -52,6 +52,42 @@ def test_tokens_equal_the_library(tokenizer):
         assert ids[a:b].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_cuts_equal_the_library(tokenizer):
+    with open(public_tokenizers.path(BYTES), encoding="utf-8") as f:
+        tokens = token_files.Tokens(f.read())
+    rng = random.Random(3)
+    alphabet = ["a", "Bc", "re", " ", " ", "\n", "'", "'s", "é", "ß", "×", "÷", "É", "ÿ", "\u0301", "ª", "12", "²", "!", ",_", "\x00", "漢", "—", "x" * 17]
+    for _ in range(40):
+        some = rng.sample(alphabet, rng.randint(3, len(alphabet)))
+        texts = ["".join(rng.choice(some) for _ in range(rng.randint(0, 50))) for _ in range(100)]
+        ids, size = tokens.encode(pa.array(texts, pa.string()))
+        ends = np.append(0, np.cumsum(size))
+        for text, a, b in zip(texts, ends[:-1], ends[1:], strict=True):
+            assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_learned_once_whatever_stands_beside_them():
+    with open(public_tokenizers.path(BYTES), encoding="utf-8") as f:
+        tokens = token_files.Tokens(f.read())
+    words = ["cosas", "señalé", "tion", "Größe"]
+    beside = ["", ",", ".", "###", "$$$", "7", "\n", "\n\n"]
+    tokens.encode(pa.array([" ".join(["", *(w + b for w in words)]) + " end" for b in beside], pa.string()))
+    # the words and " end", and what stands beside them
+    assert tokens.known.n <= len(words) + 1 + len(beside)
+
+
+def test_stretches_of_few_bytes_are_told_apart():
+    stretches = [b"\0" * n for n in range(1, 40)] + [b"a" * n for n in range(1, 40)] + [b"a" * n + b"\0" for n in range(1, 40)] + [b"\xff" * n for n in range(1, 40)]
+    raw = np.frombuffer(b"".join(stretches), np.uint8)
+    ends = np.cumsum([len(s) for s in stretches])
+    starts = ends - [len(s) for s in stretches]
+    seen = []
+    known = chunks.Remembered(lambda new: (seen.extend(new), (np.arange(len(new), dtype=np.int32), np.ones(len(new), np.int64)))[1], 1000)
+    ids, _ = known.encode(raw, starts, ends)
+    assert sorted(seen) == sorted(stretches) and [seen[i] for i in ids] == stretches
+    assert known.encode(raw, starts, ends)[0].tolist() == ids.tolist() and len(seen) == len(stretches)
+
+
 def test_token_files(spark, tokenizer, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "BLOCK", 700)
     rows = [(i * 37 % 1009, TEXTS[i % len(TEXTS)]) for i in range(120)]
@@ -73,6 +109,16 @@ def test_token_files(spark, tokenizer, tmp_path, monkeypatch):
     assert {r.doc_id: (r.start, r.n_tokens, r.crc) for r in digests} == expected
 
 
+def test_code_of_the_counts_of_all_tasks(spark, tokenizer, tmp_path):
+    rows = [(i, TEXTS[i % len(TEXTS)]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    token_files.write_tokens(docs, str(tmp_path), public_tokenizers.path(BYTES), end_id=END)
+    counts = np.bincount([i for _, t in rows for i in [*tokenizer.encode(t or "", add_special_tokens=False).ids, END]])
+    used = np.flatnonzero(counts)
+    code = spark.read.parquet(f"{tmp_path}/code").collect()
+    assert sorted((r.symbol, r.bits) for r in code) == list(zip(used.tolist(), token_files.code_lengths(counts)[used].tolist(), strict=True))
+
+
 def test_token_files_of_odd_rows(spark):
     rows = [(None, "a"), (None, None), (1, "same"), (1, "same"), (1, "other")]
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, START string")
