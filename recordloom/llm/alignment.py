@@ -232,7 +232,7 @@ def _links(docs: DataFrame, definition: str, model: bytes, id_column: str, text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = per_worker(("aligner", hash(sent.value)), lambda: Aligner(*sent.value))
         row = TaskContext.get().partitionId() << 36
-        for batch in steps(batches, "text", STEP):
+        for batch in steps(batches, "text", STEP, keeps=True):
             n = batch.num_rows
             ok, aligned = aligner.align(batch.column("text"))
             where = np.flatnonzero(ok)

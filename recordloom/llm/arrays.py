@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text that one step looks at; bounds the memory of a task whatever the batch holds.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -61,13 +61,20 @@ def per_worker(key: Hashable, make: Callable):
     """
     state = vars(sys.modules.setdefault("recordloom_worker", types.ModuleType("recordloom_worker")))
     if state.get("key") != key:
-        state["key"] = state["kept"] = None  # the old one goes before the new one is made
-        give_back()
+        forget()  # the old one goes before the new one is made
         state["kept"] = make()
         state["key"] = key
     return state["kept"]
 
 
+def forget() -> None:
+    """Drop what the worker process keeps from task to task."""
+    state = vars(sys.modules.get("recordloom_worker", types.ModuleType("recordloom_worker")))
+    if state.get("kept") is not None:
+        state["key"] = state["kept"] = None
+        give_back()
+
+
 def give_back() -> None:
     """Let memory that was freed go back to the system: a worker that waits for its next task should hold little."""
     pa.default_memory_pool().release_unused()
@@ -87,8 +94,13 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def steps(batches: Iterable[pa.RecordBatch], text: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds at most ``most`` bytes of text, or one row; freed memory goes back after each batch."""
+def steps(batches: Iterable[pa.RecordBatch], text: str, most: int = STEP_BYTES, *, keeps: bool = False) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds at most ``most`` bytes of text, or one row; freed memory goes back after each batch.
+
+    Unless the task ``keeps`` an object of its own (:func:`per_worker`), what another operator kept goes first.
+    """
+    if not keeps:
+        forget()
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -107,14 +107,14 @@ class Model:
 def _counter(labels, id_column: str, text_column: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good = labels.value
-        raw, target, other = (np.zeros(SIZE, np.int64) for _ in range(3))
+        counts = np.zeros((3, SIZE), np.int64)
+        raw, target, other = counts
         for batch in steps(batches, text_column):
             one, two, text = features(Words(*utf8(batch.column(text_column))))
             kind = np.array([good.get(i, UNKNOWN) for i in batch.column(id_column).to_pylist()], np.int64)[:, 0][text]
             for bucket in (one, two):
                 for table, some in ((raw, bucket), (target, bucket[kind == 1]), (other, bucket[kind == 0])):
                     np.add.at(table, some, 1)
-        counts = np.stack([raw, target, other])
         filled = np.flatnonzero(raw.reshape(-1, CHUNK).any(axis=1))
         for at in range(0, len(filled), 64):
             part = filled[at : at + 64]

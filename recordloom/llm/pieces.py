@@ -210,7 +210,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(("pieces", name), lambda: Encoder(model.value))
-        for batch in steps(batches, text_column, STEP):
+        for batch in steps(batches, text_column, STEP, keeps=True):
             text = batch.column(text_column)
             ids, ends = encoder.encode(text)
             missing = text.is_null()

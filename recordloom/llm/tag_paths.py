@@ -248,7 +248,7 @@ def extract(pages: DataFrame, *, html_column: str = "html", keep: list[str] | No
     names = [c for c in pages.columns if keep is None or c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, html_column):
+        for batch in steps(batches, html_column, 1 << 20):
             texts = [main_text(page) for page in batch.column(html_column).to_pylist()]
             size = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(texts, pa.string()), size], names=[*names, "text", "n_chars"])

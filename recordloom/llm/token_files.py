@@ -40,6 +40,8 @@ MAX_BITS = 18
 BLOCK, EVERY = 1 << 18, 256
 #: Stretches a worker remembers.
 REMEMBERED = 3 << 19
+#: Bytes of text encoded together.
+STEP = 1 << 20
 #: New stretches the library gets as one text.
 GROUP = 256
 # Bytes that white space other than spaces and line ends begins with (or is): only texts with them are searched.
@@ -262,7 +264,7 @@ def _tokenise(docs: DataFrame, definition: str, end_id: int, id_column: str, tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, row, n = per_worker(("tokens", known.value), lambda: Tokens(known.value)), 0, np.zeros(0, np.int64)
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP, keeps=True):
             ids, size = tokens.encode(batch.column("text"))
             full = np.full(len(ids) + len(size), end_id, np.uint32)
             full[ragged(np.cumsum(size + 1) - size - 1, size)] = ids
