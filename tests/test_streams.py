@@ -106,3 +106,33 @@ def test_a_micro_batch_that_broke_off_goes_on(spark, tmp_path, monkeypatch):
     run().awaitTermination()
     assert {name: os.path.getsize(os.path.join(calls, name)) for name in os.listdir(calls)} == {f"w{i}": 1 for i in range(5)}
     assert spark.read.parquet(f"{out}/records").where(F.col("pos") == 0).count() == 5
+
+
+def test_only_unfinished_slices_are_asked_again(spark, tmp_path, monkeypatch):
+    """The driver ends while slices are answered: what was written before is not asked again, by default concurrency."""
+    calls, source, out, state = (str(tmp_path / n) for n in ("calls", "in", "out", "state"))
+    os.mkdir(calls)
+    schema = "target_id string, human string"
+    arrive(spark, [(f"t{i}", f"w{i}") for i in range(40)], schema, source)
+    whole = generation.generate
+
+    def run():
+        stream = read_responses(spark, source, spark.createDataFrame([], schema).schema)
+        params = RunParams(max_retries=0, retry_delay=0.0)
+        generation.stream_generation(stream, WORD, counted_model(calls), out, state, params, prompts_per_task=1).awaitTermination()
+
+    def once(*given, **named):
+        monkeypatch.setattr(generation, "generate", broken)
+        return whole(*given, **named)
+
+    def broken(*_, **__):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(generation, "generate", once)
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert 0 < len(os.listdir(calls)) < 40
+    monkeypatch.undo()
+    run()
+    assert {name: os.path.getsize(os.path.join(calls, name)) for name in os.listdir(calls)} == {f"w{i}": 1 for i in range(40)}
+    assert spark.read.parquet(f"{out}/records").where(F.col("pos") == 0).count() == 40
