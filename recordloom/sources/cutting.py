@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordloom.session import new_work_dir, written
@@ -33,11 +33,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Splits that are sent to every task; beyond that number lines are joined with them by a shuffle.
 BROADCAST_SPLITS = 100_000
 
-SPLITS = (
-    "file string, block long, modes array<int>, depths array<long>, "
-    "ends array<array<struct<depth:long,n:long>>>, first string"
-)
-ENTRIES = "file string, block long, mode int, depth long, base long, ends_open boolean, head long, names array<string>, crlf boolean"
+#: Depths that are counted before counts of the same depth are added up.
+MOST_COUNTS = 1 << 18
+
+SPLITS = "file string, block long, modes array<int>, depths array<long>, ends array<binary>, first string"
+ENTRIES = "file string, block long, mode int, depth long, ends_open boolean, head long, names array<string>, crlf boolean"
 PARTS = "file string, block long, head long, number long, whole boolean, last boolean, text string"
 
 
@@ -157,23 +157,56 @@ def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, in
             yield (part.column("file")[0].as_py(), int(block[start])), part
 
 
+class Ends:
+    """How many records end at each depth. From the wrong mode depths may drift as far as there are records."""
+
+    def __init__(self, depths: np.ndarray | None = None, counts: np.ndarray | None = None):
+        none = np.zeros(0, np.int64)
+        self.added = [(none if depths is None else depths, none if counts is None else counts)]
+        self.size = len(self.added[0][0])
+        self.limit = MOST_COUNTS
+
+    def add(self, depths: np.ndarray) -> None:
+        self.added.append(np.unique(depths, return_counts=True))
+        self.size += len(self.added[-1][0])
+        if self.size > self.limit:
+            self._add_up()
+            self.limit = self.size + max(self.size, MOST_COUNTS)
+
+    def _add_up(self) -> tuple[np.ndarray, np.ndarray]:
+        every, counts = (np.concatenate(x) for x in zip(*self.added, strict=True))
+        depths, place = np.unique(every, return_inverse=True)
+        totals = np.zeros(len(depths), np.int64)
+        np.add.at(totals, place, counts)
+        self.added, self.size = [(depths, totals)], len(depths)
+        return depths, totals
+
+    def packed(self) -> bytes:
+        return np.concatenate(self._add_up()).astype("<i8").tobytes()
+
+    @staticmethod
+    def up_to(packed: bytes, depth: int) -> int:
+        """Records that end at ``depth`` or below."""
+        depths, counts = np.frombuffer(packed, "<i8").reshape(2, -1)
+        return int(counts[: np.searchsorted(depths, depth, side="right")].sum())
+
+
 def _summed_up(cutter):
     """A row per split: what it does from either mode."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, modes, depths, ends, first, open_first = None, [0, 1], [0, 0], [{}, {}], [], True
-        rows = []
+        split, modes, depths, ends, first, open_first = None, [0, 1], [0, 0], [Ends(), Ends()], [], True
 
-        def note() -> None:
+        def summary() -> Iterator[pa.RecordBatch]:
             if split is not None:
-                kept = [[{"depth": d, "n": n} for d, n in sorted(e.items())] for e in ends]
                 header = cutter.separator.join(first) if first and not open_first else None
-                rows.append({"file": split[0], "block": split[1], "modes": list(modes), "depths": list(depths), "ends": kept, "first": header})
+                row = {"file": split[0], "block": split[1], "modes": modes, "depths": depths, "ends": [e.packed() for e in ends], "first": header}
+                yield from pa.Table.from_pylist([row], _ARROW_SPLITS).to_batches()
 
         for own, batch in _by_split(batches):
             if own != split:
-                note()
-                split, modes, depths, ends, first, open_first = own, [0, 1], [0, 0], [{}, {}], [], True
+                yield from summary()
+                split, modes, depths, ends, first, open_first = own, [0, 1], [0, 0], [Ends(), Ends()], [], True
             pieces = batch.column("value")
             effect = cutter.effect(pieces)
             for m in (0, 1):
@@ -183,12 +216,9 @@ def _summed_up(cutter):
                     stop = np.flatnonzero(counted)
                     first += pieces.slice(0, int(stop[0]) + 1 if len(stop) else len(pieces)).to_pylist()
                     open_first = not len(stop)
-                for d, n in zip(*np.unique(depth[counted], return_counts=True), strict=True):
-                    ends[m][int(d)] = ends[m].get(int(d), 0) + int(n)
+                ends[m].add(depth[counted])
                 modes[m], depths[m] = int(after[-1]), int(depth[-1])
-        note()
-        if rows:
-            yield from pa.Table.from_pylist(rows, _ARROW_SPLITS).to_batches()
+        yield from summary()
 
     return run
 
@@ -199,7 +229,6 @@ _ARROW_ENTRIES = pa.schema(
         ("block", pa.int64()),
         ("mode", pa.int32()),
         ("depth", pa.int64()),
-        ("base", pa.int64()),
         ("ends_open", pa.bool_()),
         ("head", pa.int64()),
         ("names", pa.list_(pa.string())),
@@ -213,17 +242,17 @@ _ARROW_SPLITS = pa.schema(
         ("block", pa.int64()),
         ("modes", pa.list_(pa.int32())),
         ("depths", pa.list_(pa.int64())),
-        ("ends", pa.list_(pa.list_(pa.struct([("depth", pa.int64()), ("n", pa.int64())])))),
+        ("ends", pa.list_(pa.binary())),
         ("first", pa.string()),
     ]
 )
 
 
 def _put_together(cutter):
-    """Where each split of a file begins: mode, depth and records before it."""
+    """In which mode and at which depth each split of a file begins."""
 
     def run(splits: pa.Table) -> pa.Table:
-        mode, depth, base, rows = 0, 0, 0, []
+        mode, depth, rows = 0, 0, []
         ordered = splits.sort_by("block").to_pylist()
         names = cutter.names(ordered[0]["first"]) if ordered[0]["block"] == 0 else None
         # as whole files are read: line ends are what the first one is
@@ -231,8 +260,7 @@ def _put_together(cutter):
         told = "\n".join([str(crlf), *(names or [])]).encode()
         head = int.from_bytes(hashlib.blake2b(told, digest_size=8).digest(), "big", signed=True) if names else 0
         for split in ordered:
-            entry = {"file": split["file"], "block": split["block"], "mode": mode, "depth": depth, "base": base, "head": head}
-            base += sum(e["n"] for e in split["ends"][mode] if depth + e["depth"] <= cutter.level)
+            entry = {"file": split["file"], "block": split["block"], "mode": mode, "depth": depth, "head": head}
             mode, depth = split["modes"][mode], depth + split["depths"][mode]
             ends_open = mode == 1 or depth > cutter.level
             rows.append(entry | {"ends_open": ends_open, "names": names if split["block"] == 0 else None, "crlf": crlf})
@@ -241,6 +269,19 @@ def _put_together(cutter):
     return run
 
 
+def _counted(cutter):
+    """How many records end in each split, from where it begins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = zip(batch.column("packed"), batch.column("depth").to_pylist(), strict=True)
+            counts = [Ends.up_to(packed.as_py(), cutter.level - depth) for packed, depth in at]
+            kept = [name for name in batch.schema.names if name != "packed"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(counts, pa.int64())], names=[*kept, "n"])
+
+    return run
+
+
 def _cut(cutter):
     """Records and parts of records of each split."""
 
@@ -290,8 +331,15 @@ def records(lines: DataFrame, cutter) -> tuple[DataFrame, DataFrame]:
     ``head`` tells headers apart; ``last`` says that a record closes its file's array.
     """
     spark = lines.sparkSession
-    summed = lines.mapInArrow(_summed_up(cutter), SPLITS)
-    splits = written(summed.groupBy("file").applyInArrow(_put_together(cutter), ENTRIES), new_work_dir(spark, "splits"))
+    summed = lines.mapInArrow(_summed_up(cutter), SPLITS).repartition("file", "block")
+    summed = written(summed, new_work_dir(spark, "summed"))
+    # a narrow row per split tells where it begins; no task holds the counts of all splits of a file
+    begun = summed.drop("ends").groupBy("file").applyInArrow(_put_together(cutter), ENTRIES)
+    own = summed.select("file", "block", "ends").join(begun, ["file", "block"])
+    counted = own.select(*begun.columns, F.get("ends", "mode").alias("packed")).mapInArrow(_counted(cutter), f"{ENTRIES}, n long")
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.select(*begun.columns, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    splits = written(placed, new_work_dir(spark, "splits"))
     seen = splits.agg(F.count(F.lit(1)).alias("n"), F.max("ends_open").alias("open")).first()
     entries = splits.select("file", "block", "mode", "depth", "base", "head")
     if seen.n <= BROADCAST_SPLITS:

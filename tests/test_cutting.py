@@ -178,3 +178,21 @@ def test_effects_put_together():
     effect = cutting.Effect((np.array([0, 1, 1, 0]), np.array([1, 0, 1, 0])), (np.array([1, 0, 0, 2]), np.array([5, 0, 7, 0])))
     assert [x.tolist() for x in effect.run(0, 0)] == [[0, 1, 1, 0], [1, 1, 8, 8]]
     assert [x.tolist() for x in effect.run(1, 3)] == [[1, 0, 1, 0], [8, 8, 8, 8]]
+
+
+def test_splits_are_put_together_without_their_counts(monkeypatch):
+    """Read from the wrong mode, brackets in strings let depths drift: their counts stay with their split."""
+    monkeypatch.setattr(cutting, "MOST_COUNTS", 50)
+    pieces = [('[' if not i else '') + '{"a":"{"}' for i in range(3000)]
+    cutter, halves = cutting.JsonElements(), (pieces[:1000], pieces[1000:])
+    rows = lambda at, some: {"file": ["f"] * len(some), "block": [at] * len(some), "value": some}
+    batches = [pa.RecordBatch.from_pydict(rows(at, half[i : i + 70])) for at, half in enumerate(halves) for i in range(0, len(half), 70)]
+    summed = pa.Table.from_batches(list(cutting._summed_up(cutter)(iter(batches))))
+    begun = cutting._put_together(cutter)(summed.drop_columns(["ends"])).to_pylist()
+    assert [(r["block"], r["mode"], r["depth"]) for r in begun] == [(0, 0, 0), (1, 0, 1)]
+    ends = summed.column("ends").to_pylist()
+    assert [cutting.Ends.up_to(e[0], 1 - r["depth"]) for e, r in zip(ends, begun, strict=True)] == [1000, 2000]
+    effect = cutter.effect(pa.array(halves[1]))
+    after, depths = effect.run(1, 0)
+    for depth in (-5, 0, 17, 1500):
+        assert cutting.Ends.up_to(ends[1][1], depth) == int(((after == 0) & (depths <= depth)).sum())
